@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
-# The vocabulary's published split pattern, with Unicode's White_Space written out.
+# The vocabulary's published split pattern, with Unicode's White_Space written out. Its
+# alternatives start with different characters, so the most frequent one may come first, and runs
+# that nothing after them can shorten are possessive.
 _SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
-    rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++"
+    rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]++"
 )
 
 NO_RANK = 2**31 - 1
