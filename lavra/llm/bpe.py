@@ -62,7 +62,7 @@ def _constant(spark: SparkSession, value, kind: str) -> Column:
     select it as a column first; the optimizer then folds both projections into one, in which the
     constant is an argument and no row carries it.
     """
-    return spark.createDataFrame([(value,)], f"c {kind}").scalar()
+    return spark.createDataFrame([(value,)], f"c {kind}", verifySchema=False).scalar()
 
 
 def _let(value: Column, use) -> Column:
