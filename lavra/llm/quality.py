@@ -38,7 +38,11 @@ BULLET = re.compile(r"\s*(?:[-*•+·–—◦▪►>]+|\[[ xX]?\]|\(?\d{1,3}(?:
 HEX_DUMP = re.compile(r"\s*(?:[0-9a-f]{4,16}:?\s+)?(?:[0-9a-f]{2,4}\s+){5,}[0-9a-f]{2,4}\s*(?:\|.*)?$", re.I)
 GAP = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-PLAIN_MARKS = frozenset(".,;:!?'\"()-–/%“”’ºª°…\n\r\t \xa0")
+PLAIN_MARKS = ".,;:!?'\"()-–/%“”’ºª°…\n\r\t \xa0"
+NOT_ODD = re.compile(rf"[\w{re.escape(PLAIN_MARKS)}]+")
+NOT_SYMBOL = re.compile(r"[\w\s]+")
+BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 LONG_TOKEN = re.compile(r"\S{40,}")
 END_MARKS = (".", "!", "?", ":", ";", "…")
 SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
@@ -56,21 +60,20 @@ SCHEMA = f"doc_id long, kind string, {STATS}"
 
 
 def _odd_share(text: str) -> float:
-    return sum(not c.isalnum() and c not in PLAIN_MARKS for c in text) / max(1, len(text))
+    return (len(NOT_ODD.sub("", text)) + text.count("_")) / max(1, len(text))
 
 
-def readable(text: str) -> bool:
-    """Does running text pass for language?"""
-    words = WORD.findall(text.lower())
+def readable(text: str, words: list[str]) -> bool:
+    """Does running text, with these lower-case words, pass for language?"""
     n = len(words)
     letters = sum(map(len, words))
     solid = max(1, len(text) - text.count(" ") - text.count("\n"))
-    if LONG_TOKEN.search(text) and sum(len(t) for t in LONG_TOKEN.findall(text) if "/" not in t[:8] and "@" not in t) > 0.5 * solid:
+    if (long := LONG_TOKEN.findall(text)) and sum(len(t) for t in long if "/" not in t[:8] and "@" not in t) > 0.5 * solid:
         return False
     if _odd_share(text) > MAX_ODD or letters < 0.5 * solid:
         return False
     longer = [w for w in words if len(w) > 1]  # shuffled letters leave one-letter words whole
-    common = sum(w in COMMON for w in longer)
+    common = sum(map(COMMON.__contains__, longer))
     if n >= 12 and (len(set(words)) < MIN_DISTINCT * n or Counter(words).most_common(1)[0][1] > 0.5 * n):
         return False
     if n >= 8:
@@ -79,7 +82,7 @@ def readable(text: str) -> bool:
     if n and len(VOWELS.findall("".join(words))) < 0.2 * letters:
         return False
     # letters that Latin texts hardly use, cut words and capitals inside words mark garbling
-    foreign = sum(ord(c) > 0x24F for c in text if c.isalpha())
+    foreign = sum(c.isalpha() for run in BEYOND_LATIN.findall(text) for c in run)
     return foreign <= 0.3 * max(1, letters)
 
 
@@ -183,10 +186,10 @@ def kind_and_stats(text: str | None) -> tuple:
     stripped = [x.strip() for x in lines]
     words = WORD.findall(flat.lower())
     n = len(words)
-    solid = max(1, sum(not c.isspace() for c in flat))
-    symbols = sum(not c.isalnum() and not c.isspace() for c in flat) / solid
+    solid = max(1, sum(map(len, flat.split())))
+    symbols = (len(NOT_SYMBOL.sub("", flat)) + flat.count("_")) / solid
     ends = sum(x.endswith(END_MARKS) for x in stripped) / len(lines)
-    common = sum(w in COMMON for w in words) / max(1, n)
+    common = sum(map(COMMON.__contains__, words)) / max(1, n)
     counts = Counter(stripped)
     dup_lines = sum(len(x) * (k - 1) for x, k in counts.items()) / max(1, sum(map(len, stripped)))
     paragraphs = [p.strip() for p in re.split(r"\n\s*\n", flat) if p.strip()]
@@ -205,7 +208,7 @@ def kind_and_stats(text: str | None) -> tuple:
             k = len(list(run))
             block = "\n".join(lines[i : i + k])
             size = len(block)
-            if form == "text" and not readable(block):
+            if form == "text" and not readable(block, words if k == len(lines) else WORD.findall(block.lower())):
                 form = "junk"
             elif form == "list" and not _entries_readable(block):
                 form = "junk"
@@ -216,7 +219,7 @@ def kind_and_stats(text: str | None) -> tuple:
 
 
 def _entries_readable(block: str) -> bool:
-    letters = sum(c.isalpha() for c in block)
+    letters = sum(map(len, LETTERS.findall(block)))
     vowels = len(VOWELS.findall(block))
     return _odd_share(block.replace("[", "").replace("]", "").replace("*", "").replace("+", "").replace("•", "").replace("|", "")) <= 0.15 and (letters < 8 or vowels >= 0.2 * letters)
 
