@@ -40,7 +40,7 @@ class Plan:
     dims: int = 192
     k: int = 5
     per_pivot: int = 250  # vectors for each pivot
-    per_group: int = 5000  # vectors for each group of cells
+    per_group: int = 2500  # vectors for each group of cells that travels and is searched together
     probes: int = 5  # cells that each vector joins
     lines: int = 16  # projections
     share: float = 0.7  # of the windows that a candidate falls into
@@ -51,37 +51,52 @@ class Plan:
 
 
 def valid_vectors(vectors: DataFrame, known: DataFrame, dims: int = 192) -> DataFrame:
-    """(id, vec): unit vectors as binary float32, staged; ``known`` is a table of ids."""
+    """(num, id, vec): one row for each valid id, staged; ``known`` is a table of ids.
 
-    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Values stay as they are given: they compress far better than unit vectors, which are made
+    where they are used. One shuffle both drops repeated rows and keeps the known ids.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(1)
-            keep = np.flatnonzero(np.array(lists.is_valid()) & (np.array(lists.value_lengths().fill_null(0)) == dims))
+            keep = np.flatnonzero(np.asarray(lists.value_lengths().fill_null(0)) == dims)
             if not len(keep):
                 continue
             rows = lists.take(pa.array(keep))
-            v = np.asarray(rows.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)).reshape(-1, dims)
-            length = np.sqrt((v * v).sum(1))
-            ok = np.isfinite(v).all(1) & (length > 0) & np.isfinite(length)
-            v = (v[ok] / length[ok, None]).astype("<f4")
-            ids = b.column(0).take(pa.array(keep[ok]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in v], pa.binary())], ["id", "vec"])
+            v = np.asarray(rows.flatten().cast(pa.float32()).to_numpy(zero_copy_only=False)).reshape(-1, dims)
+            with np.errstate(all="ignore"):
+                length = (v.astype(np.float64) ** 2).sum(1)
+            ok = np.isfinite(v).all(1) & (length > 0)
+            take = pa.array(keep[ok])
+            values = pa.array(np.ascontiguousarray(v[ok]).ravel())
+            offsets = pa.array(np.arange(0, (int(ok.sum()) + 1) * dims, dims, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.ListArray.from_arrays(offsets, values)], ["id", "vec"])
 
-    v = vectors.filter("id is not null").select("id", "vector").mapInArrow(unit, "id string, vec binary")
-    v = v.join(known.select("id").distinct(), "id", "left_semi")
-    return staged(v.groupBy("id").agg(F.min("vec").alias("vec")), "vectors")
+    v = vectors.filter("id is not null").select("id", "vector").mapInArrow(check, "id string, vec array<float>").withColumn("known", F.lit(False))
+    ids = known.filter("id is not null").select("id", F.lit(None).cast("array<float>").alias("vec"), F.lit(True).alias("known")).distinct()
+    one = v.unionByName(ids).groupBy("id").agg(F.min("vec").alias("vec"), F.bool_or("known").alias("known")).filter("known and vec is not null")
+    return staged(one.select(F.monotonically_increasing_id().alias("num"), "id", "vec"), "vectors")  # numbers are fixed once written
 
 
 def matrix(column, dims: int) -> np.ndarray:
-    """Rows of a binary column as float32."""
-    return np.frombuffer(b"".join(column), "<f4").reshape(-1, dims)
+    """Rows of an Arrow list column as unit vectors of float32."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):  # no chunk at all
+        return np.empty((0, dims), np.float32)
+    v = np.array(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float32).reshape(-1, dims)
+    for a in range(0, len(v), 4096):
+        part = v[a : a + 4096].astype(np.float64)
+        v[a : a + 4096] = part / np.sqrt((part * part).sum(1))[:, None]
+    return v
 
 
 def choose_pivots(vectors: DataFrame, n: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     """(pivots, group of each pivot): the vectors with the smallest hashed ids; the first ones lead groups."""
     want = int(min(MAX_PIVOTS, max(1, -(-n // plan.per_pivot))))
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(want).select("vec").collect()  # at most MAX_PIVOTS
-    pivots = matrix([r[0] for r in rows], plan.dims)
+    pivots = matrix(pa.array([list(r[0]) for r in rows], pa.list_(pa.float32())), plan.dims)
     leaders = pivots[: int(max(1, min(len(pivots), -(-n // plan.per_group))))]
     return pivots, np.argmax(pivots @ leaders.T, 1).astype(np.int32)
 
@@ -107,7 +122,7 @@ def spread(vectors: DataFrame, plan: Plan) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            cells = nearest(matrix(b.column(1).to_pylist(), plan.dims), pivots, plan.probes)
+            cells = nearest(matrix(b.column(1), plan.dims), pivots, plan.probes)
             own = np.sort(group[cells], 1)
             first = np.concatenate((np.ones((len(own), 1), bool), own[:, 1:] != own[:, :-1]), 1)
             row, at = np.nonzero(first)
@@ -117,7 +132,7 @@ def spread(vectors: DataFrame, plan: Plan) -> DataFrame:
                 [pa.array(own[row, at], pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array(packed, pa.list_(pa.int32()))], ["grp", "id", "vec", "cells"]
             )
 
-    return vectors.select("id", "vec").mapInArrow(send, "grp int, id string, vec binary, cells array<int>")
+    return vectors.select("id", "vec").mapInArrow(send, "grp int, id string, vec array<float>, cells array<int>")
 
 
 class Lists:
@@ -244,7 +259,7 @@ def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """(id, neighbour, similarity, rank): the k most similar vectors of each (id, vec)."""
 
     def search(table: pa.Table) -> pa.Table:
-        v = matrix(table.column("vec").to_pylist(), plan.dims)
+        v = matrix(table.column("vec"), plan.dims)
         found = search_group(v, members_by_cell(table.column("cells").to_pylist()), plan)
         at, sim = found.at[:, : plan.k], found.sim[:, : plan.k]
         r, c = np.nonzero(at >= 0)
