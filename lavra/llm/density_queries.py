@@ -19,7 +19,8 @@ def vectors_of(spark, d):
 def p3_found(spark, d):
     """Members of the clusters of 15 or more vectors of which every two reach a cosine of 0.58."""
     members, numbered = density_clusters(vectors_of(spark, d), LEAST)
-    m = staged(members.join(numbered, "num").select("num", "cluster", "id", "vec"), "p3-clustered")
+    # joined by shuffle at every size: both sides grow with the data
+    m = staged(members.hint("shuffle_merge").join(numbered, "num").select("num", "cluster", "id", "vec"), "p3-clustered")
     ok = m.join(complete_clusters(m.select("num", "cluster", "vec"), LEAST), "cluster", "left_semi").select("id", "cluster")
     key = ok.groupBy("cluster").agg(F.min("id").alias("cluster_key"))
     return ok.join(key, "cluster").select(F.col("id").alias("chunk_id"), "cluster_key")

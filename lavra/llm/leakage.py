@@ -58,12 +58,18 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _unique_windows(items: list[np.ndarray], owner: np.ndarray, n: int):
-    """(hashes, item index, position) of windows that occur in one owner's texts only."""
+def _unique_windows(items: list[np.ndarray], owner: np.ndarray, n: int, unique: np.ndarray | None = None):
+    """(hashes, item index, position) of windows that occur in one owner's texts only.
+
+    ``unique`` names them where they were counted elsewhere.
+    """
     g = [gram_hashes(h, n) for h in items]
     hs = np.concatenate([*g, np.empty(0, np.uint64)])
     it = np.repeat(np.arange(len(items)), [len(x) for x in g]) if items else np.empty(0, np.int64)
     pos = np.concatenate([*[np.arange(len(x)) for x in g], np.empty(0, np.int64)]).astype(np.int64)
+    if unique is not None:
+        keep = np.isin(hs, unique)
+        return hs[keep], it[keep], pos[keep]
     _, inv = np.unique(hs, return_inverse=True)
     own = owner[it] if len(it) else it
     lo = np.full(inv.max(initial=-1) + 1, np.iinfo(np.int64).max)
@@ -77,7 +83,7 @@ def _unique_windows(items: list[np.ndarray], owner: np.ndarray, n: int):
 class SeedIndex:
     """Seeds of the items, sorted by hash, and the items' words."""
 
-    def __init__(self, rows: list[tuple[int, str]], short: int, exact: int):
+    def __init__(self, rows: list[tuple[int, str]], short: int, exact: int, unique: dict[int, np.ndarray] | None = None):
         self.short, self.exact = short, exact
         rows = sorted({(i, t) for i, t in rows if t}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         self.ids = [i for i, _ in rows]
@@ -85,16 +91,14 @@ class SeedIndex:
         self.words = [np.fromiter(map(_word_hash, words_of(t)), np.uint64) for _, t in rows]
         self.vocabulary = {w: _word_hash(w) for _, t in rows for w in words_of(t)}
         owner = np.array([owners[i] for i in self.ids], dtype=np.int64)
-        sh, si, sp = _unique_windows(self.words, owner, short)
-        eh, ei, ep = _unique_windows(self.words, owner, exact)
-        self.exact_hashes = np.unique(eh)
+        sh, si, sp = _unique_windows(self.words, owner, short, unique and unique[short])
+        eh, ei, ep = _unique_windows(self.words, owner, exact, unique and unique[exact])
         held = set(zip(si.tolist(), sp.tolist()))
         span = exact - short + 1
         bare = [k for k, (i, p) in enumerate(zip(ei.tolist(), ep.tolist())) if not any((i, p + q) in held for q in range(span))]
         self.tables = {short: self._sorted(sh, si, sp), exact: self._sorted(eh[bare], ei[bare], ep[bare])}
         order = np.argsort(eh, kind="stable")
-        self.exact_sorted, self.exact_item = eh[order], np.array([self.ids[i] is not None for i in range(len(self.ids))])
-        self.exact_owner = ei[order]
+        self.exact_sorted, self.exact_owner = eh[order], ei[order]
 
     @staticmethod
     def _sorted(h, i, p):
@@ -210,27 +214,28 @@ def _search(index):
     return run
 
 
-def _seed_rows(short: int):
+def _seed_rows(sizes: tuple[int, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keys, seeds = [], []
+            parts = []
             for k, text in zip(b["k"], b["text"]):
-                g = np.unique(gram_hashes(np.array([_word_hash(w) for w in words_of(text or "")], dtype=np.uint64), short))
-                keys += [k] * len(g)
-                seeds += g.astype(np.int64).tolist()
-            yield pd.DataFrame({"k": pd.array(keys, dtype="Int64"), "seed": seeds})
+                h = np.array([_word_hash(w) for w in words_of(text or "")], dtype=np.uint64)
+                for n in sizes:
+                    parts.append(pd.DataFrame({"seed": np.unique(gram_hashes(h, n)).astype(np.int64)}).assign(k=k, n=n))
+            yield pd.concat([*parts, pd.DataFrame({"seed": [], "k": [], "n": []})])[["k", "n", "seed"]].astype({"k": "object"})
 
     return run
 
 
 def _search_pairs(short: int, exact: int):
-    """Search of one text against the item texts that share a seed with it (the shuffled way)."""
+    """Search of one text in one item's text, with the item's unique windows (the shuffled way)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, text, item, item_text in zip(b["doc_id"], b["text"], b["item_id"], b["item_text"]):
-                ix = SeedIndex([(item, item_text)], short, exact)
+            for doc, text, item, item_text, s, e in zip(b["doc_id"], b["text"], b["item_id"], b["item_text"], b["short"], b["exact"]):
+                unique = {short: np.array(s, dtype=np.int64).astype(np.uint64), exact: np.array(e, dtype=np.int64).astype(np.uint64)}
+                ix = SeedIndex([(None if pd.isna(item) else item, item_text)], short, exact, unique)
                 h = np.array([ix.vocabulary.get(w, 0) for w in words_of(text)], dtype=np.uint64)
                 m = ix.matches(h)
                 if m is not None:
@@ -255,11 +260,14 @@ def leaked_passages(documents: DataFrame, items: DataFrame, short: int = 6, exac
         rows = [(r[0], r[1]) for r in items.collect()]  # bounded by the check above
         index = spark.sparkContext.broadcast(SeedIndex(rows, short, exact))
         return docs.mapInPandas(_search(index), HIT_SCHEMA)
-    # Many items: rare seeds are found by counting and joined by shuffle; aligned pairs carry their own index,
-    # in which a window counts as unique if the pair's item has it, so ``longest`` may include shared windows.
-    ids = items.select(F.col("item_id").alias("k"), "text").mapInPandas(_seed_rows(short), "k long, seed long").distinct()
-    rare = ids.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("item_id")).filter("n = 1").select("seed", "item_id")
-    seen = docs.select(F.col("doc_id").alias("k"), "text").mapInPandas(_seed_rows(short), "k long, seed long")
-    pairs = seen.join(rare, "seed").select(F.col("k").alias("doc_id"), "item_id").distinct()
-    full = pairs.join(docs, "doc_id").join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
-    return full.select("doc_id", "text", "item_id", "item_text").mapInPandas(_search_pairs(short, exact), HIT_SCHEMA)
+    # Many items: their seeds are counted and joined by shuffle; a pair carries its item's unique windows.
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))  # noqa: E731  null ids are a value of their own
+    docs, items = docs.withColumn("dk", key("doc_id")), items.distinct().withColumn("ik", key("item_id"))
+    kinds = "k string, n int, seed long"
+    grams = items.select(F.col("ik").alias("k"), "text").mapInPandas(_seed_rows((short, exact)), kinds).distinct()
+    rare = grams.groupBy("n", "seed").agg(F.count(F.lit(1)).alias("c"), F.first("k").alias("ik")).filter("c = 1").select("n", "seed", "ik")
+    own = rare.groupBy("ik").agg(*[F.collect_list(F.when(F.col("n") == n, F.col("seed"))).alias(c) for c, n in (("short", short), ("exact", exact))])
+    seen = docs.select(F.col("dk").alias("k"), "text").mapInPandas(_seed_rows((short, exact)), kinds)
+    pairs = seen.join(rare, ["n", "seed"]).select(F.col("k").alias("dk"), "ik").distinct()
+    full = pairs.join(docs, "dk").join(items.select("ik", "item_id", F.col("text").alias("item_text")), "ik").join(own, "ik")
+    return full.select("doc_id", "text", "item_id", "item_text", "short", "exact").mapInPandas(_search_pairs(short, exact), HIT_SCHEMA)

@@ -74,7 +74,7 @@ def valid_vectors(vectors: DataFrame, known: DataFrame, dims: int = 192) -> Data
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.ListArray.from_arrays(offsets, values)], ["id", "vec"])
 
     v = vectors.filter("id is not null").select("id", "vector").mapInArrow(check, "id string, vec array<float>").withColumn("known", F.lit(False))
-    ids = known.filter("id is not null").select("id", F.lit(None).cast("array<float>").alias("vec"), F.lit(True).alias("known")).distinct()
+    ids = known.filter("id is not null").select("id", F.lit(None).cast("array<float>").alias("vec"), F.lit(True).alias("known"))
     one = v.unionByName(ids).groupBy("id").agg(F.min("vec").alias("vec"), F.bool_or("known").alias("known")).filter("known and vec is not null")
     return staged(one.select(F.monotonically_increasing_id().alias("num"), "id", "vec"), "vectors")  # numbers are fixed once written
 
