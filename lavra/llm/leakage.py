@@ -222,7 +222,8 @@ def _seed_rows(sizes: tuple[int, ...]):
                 h = np.array([_word_hash(w) for w in words_of(text or "")], dtype=np.uint64)
                 for n in sizes:
                     parts.append(pd.DataFrame({"seed": np.unique(gram_hashes(h, n)).astype(np.int64)}).assign(k=k, n=n))
-            yield pd.concat([*parts, pd.DataFrame({"seed": [], "k": [], "n": []})])[["k", "n", "seed"]].astype({"k": "object"})
+            if parts:
+                yield pd.concat(parts)[["k", "n", "seed"]].astype({"k": "object"})
 
     return run
 
