@@ -115,7 +115,7 @@ def heading(text: Column) -> Column:
 def fields(text: Column) -> Column:
     """Screen fields named after field, tab, button..., in order, each once whatever its case; null gives an empty array."""
     up = "A-ZÁÉÍÓÚÂÊÔÃÕÇ"
-    pattern = rf"(?U)\b(?:campo|aba|botão|check ?box|opção)\s+[\"“]?([{up}][\wÀ-ú/()\-]*(?:\s+(?:de|da|do|dos|das|e)?\s*[{up}(][\wÀ-ú/()\-]*){{0,4}})"
+    pattern = rf"(?U)\b(?:campo|aba|botão|check ?box|opção)\s+[\"“]?([{up}][\p{{L}}\p{{N}}_/()\-]*(?:\s+(?:de|da|do|dos|das|e)?\s*[{up}(][\p{{L}}\p{{N}}_/()\-]*){{0,4}})"
     found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(1)), lambda x: F.btrim(x, F.lit(' -"”')))
     dull = [w for w in P.PHRASE_BOILERPLATE.split()]
     useful = F.filter(found, lambda x: ~F.lower(x).isin(*dull))

@@ -67,7 +67,7 @@ def drop_copied_chunks(chunks: DataFrame, items: str = "items", order=("doc_id",
     The fingerprint is hashed, so the window's shuffle carries no texts in its key. Rows with
     fewer than two items always stay.
     """
-    squeezed = F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"(?U)\W+", "")
+    squeezed = F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^\p{L}\p{N}_]+", "")
     fp = F.sha2(F.concat_ws("\u0001", F.concat_ws(" ", F.col(items)), F.substring(squeezed, 1, 150)), 256)
     own = F.concat_ws("\u0001", F.lit("own"), *[F.col(c).cast("string") for c in order], F.col("chunk_id"))
     keyed = chunks.withColumn("_fp", F.when(F.size(items) >= 2, fp).otherwise(own)).withColumn("_multi", F.size(items) >= 2)
