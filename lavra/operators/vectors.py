@@ -212,3 +212,32 @@ def principal_components(vectors: DataFrame, parts: int, sample: int = 20_000) -
     axes = axes * np.where(axes[np.arange(len(axes)), np.abs(axes).argmax(1)] < 0, -1, 1)[:, None]  # signs made definite
     cols = [dot(F.col("vec"), F.array(*[F.lit(float(x)) for x in a])) - float(mean @ a) for a in axes]
     return axes, vectors.filter("vec is not null").select("id", F.array(*cols).alias("xy"))
+
+
+def tfidf_vectors(texts: DataFrame, dims: int = 256, **options) -> DataFrame:
+    """(id, vec): unit vectors of the TF-IDF weights' singular value decomposition.
+
+    The decomposition runs over the cluster; only ``features`` x ``dims`` numbers come to the driver.
+    """
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.linalg.distributed import RowMatrix
+
+    weights = tfidf(texts, **options).cache()
+    spark = texts.sparkSession
+    names = weights.select(F.explode("terms").alias("t")).select("t.term").distinct().orderBy("term").withColumn("at", F.row_number().over(W.orderBy("term")) - 1)
+    placed = weights.select("id", F.explode("terms").alias("t")).select("id", "t.term", "t.weight").join(names, "term").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "weight"))).alias("x"))
+    size = names.count()
+    if not size:
+        return spark.createDataFrame([], f"id {texts.schema['id'].dataType.simpleString()}, vec array<double>")
+    rows = placed.rdd.map(lambda r: Vectors.sparse(size, [(x["at"], x["weight"]) for x in r["x"]]))
+    v = RowMatrix(rows, numCols=size).computeSVD(min(dims, size, placed.count())).V.toArray()
+    shared = spark.sparkContext.broadcast(v)  # at most features x dims numbers
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        axes = shared.value
+        for b in batches:
+            vec = np.array([axes[[y["at"] for y in x]].T @ np.array([y["weight"] for y in x]) for x in b["x"]]).reshape(len(b), -1)
+            vec /= np.linalg.norm(vec, axis=1, keepdims=True) + 1e-12
+            yield pd.DataFrame({"id": b["id"], "vec": list(vec)})
+
+    return placed.mapInPandas(project, f"id {texts.schema['id'].dataType.simpleString()}, vec array<double>")
