@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm.density import complete_clusters, density_clusters, describe_clusters
+from lavra.llm.density import attach, cluster_centres, complete_clusters, density_clusters, describe_clusters
 from lavra.llm.neighbours import valid_vectors
 from lavra.session import staged, table
 
@@ -20,8 +20,12 @@ def p3_found(spark, d):
     """Members of the clusters of 15 or more vectors of which every two reach a cosine of 0.58."""
     members, numbered = density_clusters(vectors_of(spark, d), LEAST)
     # joined by shuffle at every size: both sides grow with the data
-    m = staged(members.hint("shuffle_merge").join(numbered, "num").select("num", "cluster", "id", "vec"), "p3-clustered")
-    ok = m.join(complete_clusters(m.select("num", "cluster", "vec"), LEAST), "cluster", "left_semi").select("id", "cluster")
+    placed = staged(numbered.join(members.hint("shuffle_merge"), "num", "left").select("num", "id", "vec", "cluster"), "p3-placed")
+    inside, outside = placed.filter("cluster is not null"), placed.filter("cluster is null")
+    late = staged(attach(outside, cluster_centres(inside), LEAST), "p3-attached")
+    m = inside.unionByName(late)
+    complete = staged(complete_clusters(m.select("num", "cluster", "vec"), LEAST), "p3-complete")
+    ok = m.select("id", "cluster").join(complete, "cluster", "left_semi")
     key = ok.groupBy("cluster").agg(F.min("id").alias("cluster_key"))
     return ok.join(key, "cluster").select(F.col("id").alias("chunk_id"), "cluster_key")
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lavra.llm.density_queries import vectors_of
-from lavra.llm.neighbours import mutual_pairs, nearest_vectors
+from lavra.llm.neighbours import Plan, mutual_pairs, nearest_vectors
+
+#: Larger cells and more of them a vector, for the nearest of vectors that have no similar one.
+THOROUGH = Plan(per_pivot=1000, probes=8, cell=20_000)
 
 
 def p6_found(spark, d):
@@ -16,7 +19,7 @@ def p6_found(spark, d):
 
 def p6_neighbours(spark, d):
     """The 5 most similar vectors of every vector."""
-    return nearest_vectors(vectors_of(spark, d)).withColumnRenamed("id", "chunk_id")
+    return nearest_vectors(vectors_of(spark, d), THOROUGH).withColumnRenamed("id", "chunk_id")
 
 
 QUERIES = {"p6_found": p6_found, "p6_neighbours": p6_neighbours}

@@ -12,7 +12,7 @@ Defined results
 * Each id gets at most k neighbours, never itself; ties go by id. Equal vectors are neighbours.
 * An empty table gives an empty result; fewer than k+1 vectors give all others. Extra columns
   are not read.
-* Nothing is capped: a cell above ``CELL`` members is cut into overlapping cells of its own, and
+* Nothing is capped: a cell above ``Plan.cell`` members is cut into overlapping cells of its own, and
   where that can't make it smaller (copies) its blocks are compared one after another.
 """
 
@@ -31,7 +31,6 @@ from lavra.session import staged
 
 #: Pivots and leaders are at most this many vectors, whatever the data's size; so is what is broadcast (3 MB at 192 dims).
 MAX_PIVOTS = 4096
-CELL = 6000
 BLOCK = 256
 
 
@@ -46,6 +45,7 @@ class Plan:
     share: float = 0.7  # of the windows that a candidate falls into
     reach: float = 1.5  # half window as a multiple of the radius
     radii: tuple[float, ...] = (0.32, 0.64, 1.28, 2.0)
+    cell: int = 6000  # members above which a cell is cut into overlapping ones
     wide: int = 10  # neighbours kept while refining
     rounds: int = 2
 
@@ -202,8 +202,8 @@ def search_cell(v: np.ndarray, members: np.ndarray, lines: np.ndarray, lists: Li
 
 
 def cells_of(v: np.ndarray, members: np.ndarray, plan: Plan, depth: int = 0) -> Iterator[np.ndarray]:
-    """The cell itself or, above CELL members, overlapping cells around some of them."""
-    if len(members) <= CELL or depth == 4:
+    """The cell itself or, above ``plan.cell`` members, overlapping cells around some of them."""
+    if len(members) <= plan.cell or depth == 4:
         yield members
         return
     pivots = v[members[:: plan.per_pivot * 2]]

@@ -55,7 +55,7 @@ def test_near_pairs_and_copies(spark):
 
 
 def test_big_cell_of_copies_is_searched():
-    v = np.tile(np.eye(1, DIMS, dtype=np.float32), (N.CELL + 500, 1))
+    v = np.tile(np.eye(1, DIMS, dtype=np.float32), (N.Plan().cell + 500, 1))
     found = N.search_group(v, [np.arange(len(v))], N.Plan(rounds=0, wide=5))
     assert (found.sim[:, :5] > 0.999).all()
 
