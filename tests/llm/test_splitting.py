@@ -1,4 +1,6 @@
-from lavra.llm.splitting import Limits, bisect_spans, scan_spans, split_topics
+import pytest
+
+from lavra.llm.splitting import Limits, bisect_spans, scan_on, scan_spans, split_topics, transitions
 
 B = " \t\n\r"
 
@@ -52,3 +54,31 @@ def test_topics(spark, rng):
     assert {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in got.values())
     assert split_topics(df.limit(0)).count() == 0
+
+
+def test_transitions_match_scans(rng):
+    small = Limits(60, 10, 7)
+    for k in range(40):
+        before, t = text(rng, 60, k % 2 == 0), text(rng, rng.randint(0, 300), k % 2 == 0)
+        left, n = transitions(before, t, small)
+        for d in range(61):
+            spans, rest = scan_on(before[60 - d :], t, small)
+            assert (left[d], n[d]) == (rest, len(spans))
+
+
+@pytest.mark.parametrize("block", [70, 400])
+def test_hot_topics_are_split_the_same(spark, rng, block):
+    small = Limits(60, 10, 7)
+    rows, want = [], {}
+    for t in range(6):
+        texts = [text(rng, rng.choice([0, 3, 40, 90, 700]), t % 2 == 0) for _ in range(rng.choice([1, 4, 30]))]
+        rows += [(f"t{t}", f"{t}-{i:03}", i if i else None, x) for i, x in enumerate(texts)]
+        whole = "\n\n".join(texts)
+        if len(whole) > 60:
+            want[f"t{t}"] = brute(whole, 60, 10, 7)
+    df = spark.createDataFrame(rows + rows[::7], "topic_id string, chunk_id string, position int, text string")
+    got = {}
+    for r in split_topics(df, small, hot=100, block=block).collect():
+        assert r.piece_no not in got.setdefault(r.topic_id, {})
+        got[r.topic_id][r.piece_no] = (r.start_pos, r.end_pos)
+    assert {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
