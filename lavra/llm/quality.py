@@ -34,8 +34,9 @@ COMMON = frozenset(
     """.split()
 )
 
-BULLET = re.compile(r"\s*(?:[-*•+·–—◦▪►>]+|\[[ xX]?\]|\(?\d{1,3}(?:\s?[.)ºª°]|\s-)|\(?[a-zA-Z][.)])\s+(?=\S)")
+BULLET = re.compile(r"\s*(?:[-*•+·–—◦▪►]+|\[[ xX]?\]|\(?\d{1,3}(?:\s?[.)ºª°]|\s-)|\(?[a-zA-Z][.)])\s+(?=\S)")
 HEX_DUMP = re.compile(r"\s*(?:[0-9a-f]{4,16}:?\s+)?(?:[0-9a-f]{2,4}\s+){5,}[0-9a-f]{2,4}\s*(?:\|.*)?$", re.I)
+QUOTE = re.compile(r"\s*(?:>\s?)+")
 GAP = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 PLAIN_MARKS = ".,;:!?'\"()-–/%“”’ºª°…\n\r\t \xa0"
@@ -86,6 +87,14 @@ def readable(text: str, words: list[str]) -> bool:
     return foreign <= 0.3 * max(1, letters)
 
 
+def unquoted(line: str) -> str:
+    """A line without the marks that quote it; a line of such marks only stays."""
+    if ">" not in line[:12]:
+        return line
+    m = QUOTE.match(line)
+    return line[m.end() :] or line if m else line
+
+
 def _cells(line: str) -> dict[str, int]:
     """Cells of a line by each way rows are written; only ways that give two or more."""
     s = line.strip()
@@ -101,11 +110,18 @@ def _cells(line: str) -> dict[str, int]:
     elif "," in s and not re.search(r", ", s) and s.count(",") > 1:
         out[","] = s.count(",") + 1
     gaps = len(GAP.findall(s))
-    if gaps and "\t" not in out:
+    if gaps and "\t" not in out and not _wide_text(s, gaps):
         out["  "] = gaps + 1
     return {k: v for k, v in out.items() if v > 1}
 
 
+def _wide_text(line: str, gaps: int) -> bool:
+    """Running text whose words are set wide apart."""
+    words = line.lower().split()
+    even = "   " not in line and "\t" not in line  # columns are padded, so their gaps differ
+    return even and len(words) >= 5 and gaps >= 0.8 * (len(words) - 1) and sum(map(COMMON.__contains__, words)) >= 0.15 * len(words)
+
+
 def _inline_list(line: str) -> bool:
     """One line of many short entries set off by the same mark."""
     body = line.split(":", 1)[1] if ":" in line[:160] and len(line.split(":", 1)[1]) > 60 else line
@@ -119,7 +135,8 @@ def _inline_list(line: str) -> bool:
 
 
 def line_forms(lines: list[str]) -> list[str]:
-    """A form for each non-blank line: table, list, text or junk."""
+    """A form for each non-blank line: table, list, short, text or junk."""
+    lines = [unquoted(x) for x in lines]
     cells = [_cells(x) for x in lines]
     rows: Counter = Counter()
     for c in cells:
@@ -155,10 +172,32 @@ def line_forms(lines: list[str]) -> list[str]:
     return forms
 
 
+def _flows(block: list[str]) -> tuple[int, int]:
+    """(lines that end without a mark, those of them whose next line goes on in lower case)."""
+    ends = [j for j in range(len(block) - 1) if not block[j].rstrip().endswith(END_MARKS)]
+    joined = "".join(block)
+    if joined.isupper() and sum(map(COMMON.__contains__, " ".join(block).lower().split())) >= 0.2 * len(" ".join(block).split()):
+        return len(ends), len(ends)  # capitals don't show where a sentence goes on; its function words do
+    return len(ends), sum(block[j + 1].lstrip()[:1].islower() for j in ends)
+
+
 def _settle(lines: list[str], forms: list[str]) -> list[str]:
-    """Blocks of short and text lines become entries or running text by how their lines end and flow."""
+    """Blocks of short and text lines become entries or running text by how their lines end and flow.
+
+    Marked lines that go on from one to the next in lower case are wrapped text, too.
+    """
+    lines = [unquoted(x) for x in lines]
     out = list(forms)
     i = 0
+    for form, run in groupby(forms):
+        n = len(list(run))
+        if form == "list" and n >= 2 and not all(x.rstrip().endswith(END_MARKS) for x in lines[i : i + n - 1]):
+            bare = [BULLET.sub("", x, count=1) for x in lines[i : i + n]]
+            ends, flow = _flows(bare)
+            if ends and flow > 0.5 * (n - 1) and median(map(len, bare)) > 24:
+                out[i : i + n] = ["text"] * n
+        i += n
+    i = 0
     for loose, run in groupby(forms, key=lambda f: f in ("short", "text")):
         n = len(list(run))
         if loose:
@@ -167,10 +206,9 @@ def _settle(lines: list[str], forms: list[str]) -> list[str]:
             if short:
                 sizes = [len(block[j].strip()) for j in short]
                 # wrapped text: lines nearly as long as the widest, next line going on in lower case
-                flow = sum(block[j + 1].lstrip()[:1].islower() for j in range(n - 1) if not block[j].rstrip().endswith(END_MARKS))
-                open_ends = sum(not block[j].rstrip().endswith(END_MARKS) for j in range(n - 1))
+                open_ends, flow = _flows(block)
                 words = median(len(WORD.findall(block[j])) for j in short)
-                wrapped = open_ends and flow > 0.3 * open_ends and median(sizes) > 24
+                wrapped = open_ends and (flow > 0.3 * open_ends and median(sizes) > 24 or flow > 0.6 * open_ends and max(map(len, block)) > 45)
                 entries = len(short) >= 3 and not wrapped and (words <= 5 or median(sizes) <= 40)
                 for j in short:
                     out[i + j] = "list" if entries else "text"
