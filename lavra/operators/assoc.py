@@ -64,15 +64,15 @@ def chunk_items(messages: bool = False, terms: Column | None = None) -> Column:
 def drop_copied_chunks(chunks: DataFrame, items: str = "items", order=("doc_id", "position")) -> DataFrame:
     """First row wins among chunks of two or more items with equal items and text start.
 
-    The fingerprint is hashed, so the window's shuffle carries no texts in its key. Rows with
-    fewer than two items always stay.
+    The first of each fingerprint is found by an aggregation of ids, so a text that fills a third of
+    all rows makes no hot group; the chunks are then kept by id. Rows with fewer than two items
+    always stay; rows that repeat a chunk id stay or go together.
     """
     squeezed = F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^\p{L}\p{N}_]+", "")
     fp = F.sha2(F.concat_ws("\u0001", F.concat_ws(" ", F.col(items)), F.substring(squeezed, 1, 150)), 256)
-    own = F.concat_ws("\u0001", F.lit("own"), *[F.col(c).cast("string") for c in order], F.col("chunk_id"))
-    keyed = chunks.withColumn("_fp", F.when(F.size(items) >= 2, fp).otherwise(own)).withColumn("_multi", F.size(items) >= 2)
-    w = W.partitionBy("_fp").orderBy(*[F.col(c).asc_nulls_first() for c in order], F.col("chunk_id"))
-    return keyed.withColumn("_rn", F.row_number().over(w)).filter((F.col("_rn") == 1) | ~F.col("_multi")).drop("_fp", "_multi", "_rn")
+    multi = chunks.filter(F.size(items) >= 2).select(fp.alias("fp"), F.struct(*order, "chunk_id").alias("o"))
+    first = multi.groupBy("fp").agg(F.min("o").alias("o")).select("o.chunk_id")
+    return chunks.filter(F.size(items) < 2).unionByName(chunks.filter(F.size(items) >= 2).join(first, "chunk_id", "left_semi").select(*chunks.columns))
 
 
 def build_baskets(occurrences: DataFrame, max_items: int | None = 25) -> DataFrame:

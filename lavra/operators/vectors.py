@@ -85,13 +85,14 @@ def exact_neighbours(vectors: DataFrame, queries: DataFrame, k: int, dims: int)
     """(id, neighbour, similarity, rank): exact k nearest rows by cosine for each query, itself left out.
 
     Queries are a stated subset of the rows. Each block of them is broadcast and compared with all
-    rows by matrix products, partition by partition; only the k best of a partition are kept.
+    rows by matrix products, batch by batch; only the k best of a batch (and their equals) go on.
     """
-    blocks = queries.filter("vec is not null").select("id", "vec").withColumn("block", F.floor((F.row_number().over(W.orderBy("id")) - 1) / QUERY_BLOCK))
-    n = blocks.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
+    q = queries.filter("vec is not null").select("id", "vec")
+    n = -(-q.count() // max(1, QUERY_BLOCK // 2))  # hashed blocks differ in size, so twice as many as needed
+    blocks = q.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, n))))
     out = None
     for b in range(n):
-        rows = blocks.filter(F.col("block") == b).orderBy("id").collect()  # at most QUERY_BLOCK
+        rows = blocks.filter(F.col("block") == b).orderBy("id").collect()  # about half of QUERY_BLOCK
         found = _scan_block(vectors, [r["id"] for r in rows], np.array([r["vec"] for r in rows], dtype=np.float64), k, dims)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else vectors.sparkSession.createDataFrame([], f"id {vectors.schema['id'].dataType.simpleString()}, neighbour {vectors.schema['id'].dataType.simpleString()}, similarity double, rank int")

@@ -127,9 +127,12 @@ def edge_full(spark, d):
 
 
 def names_from_chunk_titles(spark, d):
+    """Names read back from titles that are made of each chunk's topic and first main program."""
     from lavra.operators.phrases import names_from_titles
 
-    return names_from_titles(_chunks(spark, d).select("title", F.struct("doc_id", "position").alias("seq")))
+    c = _chunks(spark, d)
+    named = F.concat("topic_title", F.lit(" ("), F.regexp_extract("main_programs", "[A-Z]{3,5}[0-9]{1,4}", 0), F.lit(") — "), "title")
+    return names_from_titles(c.select(named.alias("title"), F.struct("doc_id", "position").alias("seq")))
 
 
 _V = """v AS (SELECT version FROM run ORDER BY created_at DESC, version DESC LIMIT 1),
@@ -209,7 +212,7 @@ ORACLES = {
     "edge_full": "SELECT DISTINCT e.version, e.from_node, e.to_node, f.name AS from_name, t.name AS to_name, t.module AS to_module FROM (SELECT DISTINCT version, from_node, to_node FROM edge) e"
     " LEFT JOIN (SELECT version, node_id, min(name) AS name FROM node GROUP BY 1, 2) f ON f.version = e.version AND f.node_id = e.from_node"
     " LEFT JOIN (SELECT version, node_id, min(name) AS name, min(module) AS module FROM node GROUP BY 1, 2) t ON t.version = e.version AND t.node_id = e.to_node",
-    "names_from_titles": "WITH c AS (SELECT chunk_id, any_value(doc_id) AS d, any_value(position) AS p, any_value(title) AS title FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
+    "names_from_titles": "WITH c AS (SELECT chunk_id, any_value(doc_id) AS d, any_value(position) AS p, any_value(topic_title) || ' (' || regexp_extract(any_value(main_programs), '[A-Z]{3,5}[0-9]{1,4}') || ') — ' || any_value(title) AS title FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
     " x AS (SELECT d, p, i, trim(string_split(split_part(coalesce(title, ''), ' — ', 1), ' + ')[i]) AS part FROM c, unnest(range(1, len(string_split(split_part(coalesce(title, ''), ' — ', 1), ' + ')) + 1)) AS u(i)),"
     " h AS (SELECT d, p, i, regexp_extract(part, '^(.*) \\(([A-Z]{3,5}\\d{1,4})\\)$', 2) AS code, regexp_extract(part, '^(.*) \\(([A-Z]{3,5}\\d{1,4})\\)$', 1) AS name FROM x)"
     " SELECT code, name FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY d, p, i) AS k FROM h WHERE code <> '') WHERE k = 1",

@@ -153,6 +153,7 @@ ORACLES = {
     "chunk_module": f"WITH {_C}, m AS (SELECT chunk_id, list_distinct(list_transform(list_filter(regexp_split_to_array(coalesce(main_programs, ''), '\\s+'), lambda p: p <> ''), lambda p: regexp_extract(p, '^[A-Z]+'))) AS m FROM c)"
     " SELECT chunk_id, CASE WHEN len(m) = 1 THEN m[1] ELSE '' END AS module FROM m",
     "chunk_subject": f"WITH {_C} SELECT chunk_id, regexp_replace(trim(regexp_extract(coalesce(text, ''), '(?m)^(E-mail — )?Assunto:[ \\t]*([^\\n]+)$', 2), ' ' || chr(13)), '(?i)^((RE|RES|ENC|FW|FWD|TR)\\s*:\\s*)+', '') AS subject FROM c",
+    "chunk_code_tables": f"WITH {_C} SELECT chunk_id, " + _LIST.format("list_filter(flatten(list_transform(regexp_extract_all(coalesce(text, ''), '\\[Código: ([^\\]]*)\\]', 1), lambda x: regexp_split_to_array(x, '\\s+'))), lambda x: x <> '')") + " AS tables FROM c",
     "clean_label": "SELECT p_partkey, p_name AS label FROM part",
     "shingle_df": f"WITH {_SHINGLES} SELECT df, count(*) AS shingles FROM df GROUP BY df",
     "copy_pairs": f"WITH {_COPIES.split(',' + chr(10) + 'best')[0]} SELECT * FROM cand",

@@ -54,7 +54,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files behind a table made by :func:`staged` once nothing reads it any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        drop_path(df.sparkSession, folder)
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this library left in the shared folder; results that read it must be stored before."""
+    drop_path(spark, f"{shared_dir(spark)}/lavra")
