@@ -93,6 +93,8 @@ def exact_neighbours(vectors: DataFrame, queries: DataFrame, k: int, dims: int)
     out = None
     for b in range(n):
         rows = blocks.filter(F.col("block") == b).orderBy("id").collect()  # about half of QUERY_BLOCK
+        if not rows:
+            continue
         found = _scan_block(vectors, [r["id"] for r in rows], np.array([r["vec"] for r in rows], dtype=np.float64), k, dims)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else vectors.sparkSession.createDataFrame([], f"id {vectors.schema['id'].dataType.simpleString()}, neighbour {vectors.schema['id'].dataType.simpleString()}, similarity double, rank int")
