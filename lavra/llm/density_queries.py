@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm.density import attach, cluster_centres, complete_clusters, density_clusters, describe_clusters
+from lavra.llm.density import density_clusters, describe_clusters, isolated_clusters, neighbour_graph, spanning_forest
 from lavra.llm.neighbours import valid_vectors
 from lavra.session import staged, table
 
@@ -17,17 +17,19 @@ def vectors_of(spark, d):
 
 
 def p3_found(spark, d):
-    """Members of the clusters of 15 or more vectors of which every two reach a cosine of 0.58."""
-    members, numbered = density_clusters(vectors_of(spark, d), LEAST)
+    """Members of the clusters of 15 or more vectors of which every two reach a cosine of 0.58, and none with a vector outside."""
+    return members_of(vectors_of(spark, d)).withColumnRenamed("id", "chunk_id")
+
+
+def members_of(numbered):
+    """(id, cluster_key) of vectors (num, id, vec)."""
+    forest = spanning_forest(neighbour_graph(numbered.select("num", "vec"), LEAST, 5))
+    tree = forest.select(F.explode(F.array("x", "y")).alias("num"), "tree").distinct()
     # joined by shuffle at every size: both sides grow with the data
-    placed = staged(numbered.join(members.hint("shuffle_merge"), "num", "left").select("num", "id", "vec", "cluster"), "p3-placed")
-    inside, outside = placed.filter("cluster is not null"), placed.filter("cluster is null")
-    late = staged(attach(outside, cluster_centres(inside), LEAST), "p3-attached")
-    m = inside.unionByName(late)
-    complete = staged(complete_clusters(m.select("num", "cluster", "vec"), LEAST), "p3-complete")
-    ok = m.select("id", "cluster").join(complete, "cluster", "left_semi")
-    key = ok.groupBy("cluster").agg(F.min("id").alias("cluster_key"))
-    return ok.join(key, "cluster").select(F.col("id").alias("chunk_id"), "cluster_key")
+    placed = staged(numbered.join(tree.hint("shuffle_merge"), "num", "left").select("num", F.coalesce("tree", "num").alias("cluster"), "vec"), "p3-placed")
+    m = staged(isolated_clusters(placed, LEAST).join(numbered.select("num", "id"), "num"), "p3-found")
+    key = m.groupBy("cluster").agg(F.min("id").alias("cluster_key"))
+    return m.join(key, "cluster").select("id", "cluster_key")
 
 
 def p3_clusters(spark, d):
