@@ -1,16 +1,19 @@
 """E-mails reduced to the lines their sender newly wrote.
 
-An e-mail is cut into its own segments and its thread ancestors (earlier messages quoted or
-forwarded inside it, in any style). Paragraphs of the own segments are compressed with a
-dictionary made of the ancestors' text and of sender closings learnt from all e-mails. A paragraph
-that the dictionary shortens abnormally is flagged; its lines are removed only where they are
-verified as exact overlaps with the dictionary. Signature blocks are read from the segment's end.
+An e-mail is cut into its own segments and its ancestors: earlier messages quoted or forwarded
+inside it, in any style, and the earlier e-mails of its thread. Paragraphs of the own segments are
+compressed with a dictionary made of the ancestors' text and of closings learnt from all e-mails. A
+paragraph that the dictionary shortens abnormally is flagged; its lines are removed only where they
+are verified as exact overlaps with the dictionary. Signature blocks are read from the segment's end.
 
 Defined results
 * Null and empty texts have no lines. A trailing carriage return is not part of a line.
 * Lines are numbered from 1 over LF; lines of white space count but are never new.
-* Rows that repeat an id give their lines once. An e-mail without any marker is all new but for
-  its closing. Extra columns are not read. Cost grows with the text's length only.
+* Rows that repeat an id give their lines once. An e-mail without any marker is all new but for its
+  closing and what it repeats of its thread, two lines in a row at least. Extra columns are not
+  read. Cost grows with the text's length only; a thread is held by one task.
+* No ancestor is too far back: lines that repeat one beyond the 24,000 bytes that a dictionary holds
+  are put into it first. Paragraphs above 8,000 bytes are judged piece by piece.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lavra.session import staged
+
 # Mail header fields, introductions of quotes, closing formulas, notices and roles in
 # Portuguese, Spanish and English.
 FIELDS = (
@@ -80,8 +85,10 @@ GREETING = re.compile(
 NAME = re.compile(r"\s*[A-ZÀ-Þ][\w'’.-]*(?:\s+(?:d[aeo]s?|del|y|e|[A-ZÀ-Þ][\w'’.-]*)){1,4}\s*$")
 SENTENCE = re.compile(r"[.!?:;,]\s*$")
 
-#: A paragraph whose compressed size the dictionary cuts by this share is flagged; closings in fewer e-mails aren't learnt; most that are kept.
-ABNORMAL_GAIN, MIN_EMAILS, MAX_CLOSINGS = 0.55, 5, 2000
+#: A paragraph whose compressed size the dictionary cuts by this share is flagged; closings in fewer e-mails aren't learnt.
+ABNORMAL_GAIN, MIN_EMAILS = 0.55, 5
+#: Bytes of the ancestors that a dictionary always holds, and of a paragraph that is judged at once.
+DICTIONARY, PIECE = 24_000, 8_000
 
 
 def is_email(record_type: Column) -> Column:
@@ -247,77 +254,131 @@ def compression_gain(paragraph: str, dictionary: bytes) -> float:
     return 1 - _packed(data, dictionary[-32000:]) / plain if plain else 0.0
 
 
-def new_lines(text: str | None, closings: frozenset[str] = frozenset(), closing_text: bytes = b"") -> list[int]:
-    """Numbers of the lines that the sender newly wrote."""
+class Thread:
+    """Which lines follow each other in a thread's e-mails so far."""
+
+    def __init__(self) -> None:
+        self.pairs: set[tuple[str, str]] = set()
+
+    def add(self, text: str) -> None:
+        lines = [s for x in text.split("\n") if (s := strip_quote(x))]
+        self.pairs.update(zip(lines, lines[1:]))
+
+
+def new_lines(text: str | None, closings: frozenset[str] = frozenset(), closing_text: bytes = b"", thread: Thread | None = None) -> list[int]:
+    """Numbers of the lines that the sender newly wrote; ``thread`` holds the e-mails before."""
     if not text:
         return []
     p = parse(text)
     ancestors = [s for j in p.ancestors if (s := strip_quote(p.lines[j]))]
-    held = frozenset(ancestors)
+    quoted = "\n".join(ancestors).encode()
     # zlib looks back 32 kB and finds the end cheapest: closings first, ancestors last
-    dictionary = closing_text[-8000:] + "\n".join(ancestors).encode()[-24000:]
+    dictionary = closing_text[-8000:] + quoted[-DICTIONARY:]
+    far = (frozenset(ancestors) if len(quoted) > DICTIONARY else frozenset()) | (_pasted(p, thread) if thread else frozenset())
+    held = frozenset(ancestors) | far
     fresh: list[int] = []
+    gone: set[int] = set()
     for run in p.own:
-        gone = closing_lines(p, run, closings)
-        left = [j for j in run if j not in gone and p.lines[j].strip()]
+        closing = closing_lines(p, run, closings)
+        gone |= closing
+        left = [j for j in run if j not in closing and p.lines[j].strip()]
         paragraph: list[int] = []
+        size = 0
         for j in [*left, None]:
-            if j is not None and (not paragraph or j == paragraph[-1] + 1):
+            if j is not None and (not paragraph or (j == paragraph[-1] + 1 and size + len(p.lines[j].encode()) <= PIECE)):
                 paragraph.append(j)
+                size += len(p.lines[j].encode())
                 continue
             if paragraph:
-                fresh += _verified(p, paragraph, dictionary, held, closings)
+                fresh += _verified(p, paragraph, dictionary, held, far, closings)
             paragraph = [] if j is None else [j]
-    return [j + 1 for j in fresh]
+            size = 0 if j is None else len(p.lines[j].encode())
+    return [j + 1 for j in (_beside(p, fresh, thread, gone) if thread else fresh)]
 
 
-def _verified(p: Parsed, paragraph: list[int], dictionary: bytes, held: frozenset[str], closings: frozenset[str]) -> list[int]:
+def _verified(p: Parsed, paragraph: list[int], dictionary: bytes, held: frozenset[str], far: frozenset[str], closings: frozenset[str]) -> list[int]:
     """The paragraph's lines less those an abnormal gain points to and an exact overlap confirms."""
+    near = [s for j in paragraph if len(s := p.lines[j].strip()) >= 25 and s in far]
+    dictionary += "\n".join(near).encode()
     if not dictionary:
         return paragraph
     body = "\n".join(p.lines[j] for j in paragraph)
-    if compression_gain(body, dictionary) < ABNORMAL_GAIN:
+    # a single line longer than a piece is its own proof
+    if not (near and len(paragraph) == 1) and compression_gain(body, dictionary) < ABNORMAL_GAIN:
         return paragraph
     copied = lambda s: (len(s) >= 25 and s in held) or template(s) in closings
     return [j for j in paragraph if GREETING.match(p.lines[j]) or not copied(p.lines[j].strip())]
 
 
+def _pasted(p: Parsed, thread: Thread) -> frozenset[str]:
+    """Own lines that follow each other as in the thread; a line that comes again alone may be written again."""
+    own = [s for run in p.own for j in run if (s := p.lines[j].strip())]
+    return frozenset(s for pair in zip(own, own[1:]) if pair in thread.pairs for s in pair)
+
+
+def _beside(p: Parsed, fresh: list[int], thread: Thread, closing: set[int]) -> list[int]:
+    """Short lines and greetings go as well where they stand beside a removed line as in the thread."""
+    order = [j for run in p.own for j in run if p.lines[j].strip() and j not in closing]
+    for seq in (order, order[::-1]):
+        kept, last = set(fresh), None
+        for j in seq:
+            if last is not None and j in kept and last not in kept:
+                pair = (p.lines[last].strip(), p.lines[j].strip())
+                if (pair if seq is order else pair[::-1]) in thread.pairs:
+                    kept.discard(j)
+            last = j
+        fresh = [j for j in fresh if j in kept]
+    return fresh
+
+
 def _closing_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The templates of all own lines, with whether the line stands in a closing."""
     for b in batches:
-        ids, lines = [], []
+        ids, lines, closing = [], [], []
         for i, text in zip(b["id"], b["text"]):
             if not text:
                 continue
             p = parse(text)
+            own: dict[str, bool] = {}
             for run in p.own:
-                for j in closing_lines(p, run):
+                ends = closing_lines(p, run)
+                for j in run:
                     s = p.lines[j].strip()
-                    if len(s) > 2 and not NAME.match(s):
-                        ids.append(i)
-                        lines.append(template(s))
-        yield pd.DataFrame({"id": ids, "closing": lines}, dtype=object)
+                    if s:
+                        t = template(s)
+                        own[t] = own.get(t, False) or (j in ends and len(s) > 2 and not NAME.match(s))
+            ids += [i] * len(own)
+            lines += own
+            closing += own.values()
+        yield pd.DataFrame({"id": pd.Series(ids, dtype=object), "line": pd.Series(lines, dtype=object), "closing": pd.Series(closing, dtype=bool)})
 
 
 def sender_closings(emails: DataFrame) -> DataFrame:
-    """(closing, emails): masked closing lines by the number of e-mails that end with them, at most MAX_CLOSINGS."""
-    rows = emails.select("id", "text").mapInPandas(_closing_rows, "id string, closing string").distinct()
-    n = rows.groupBy("closing").agg(F.count(F.lit(1)).alias("emails")).filter(F.col("emails") >= MIN_EMAILS)
-    return n.orderBy(F.desc("emails"), "closing").limit(MAX_CLOSINGS)
+    """(id, closings): for each e-mail, those of its own lines, masked, that MIN_EMAILS e-mails end with."""
+    rows = staged(emails.select("id", "text").mapInPandas(_closing_rows, "id string, line string, closing boolean"), "p5-lines")
+    learnt = rows.filter("closing").select("id", "line").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("emails")).filter(F.col("emails") >= MIN_EMAILS).select("line")
+    # joined by shuffle at every size: a closing may end any number of e-mails, so its lines are first made distinct
+    return rows.join(learnt, "line").groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("closings"))
 
 
 def newly_written(emails: DataFrame) -> DataFrame:
-    """(id, line_no) of the newly written lines of e-mails (id, text)."""
-    learnt = sender_closings(emails).collect()  # at most MAX_CLOSINGS short lines
-    known = frozenset(r[0] for r in learnt if not SENTENCE.search(r[0]) or FORMULA.match(r[0]) or NOTICE.match(r[0]))
-    text = "\n".join(r[0] for r in reversed(learnt)).encode()
-    shared = emails.sparkSession.sparkContext.broadcast((known, text))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        closings, packed = shared.value
-        for b in batches:
-            out = [(i, new_lines(t, closings, packed)) for i, t in zip(b["id"], b["text"])]
-            yield pd.DataFrame(out, columns=["id", "nos"])
-
-    # the lines of a repeated id are equal, so one array per id stays
-    per = emails.select("id", "text").mapInPandas(run, "id string, nos array<long>").groupBy("id").agg(F.max("nos").alias("nos"))
+    """(id, line_no) of the newly written lines of e-mails (id, text).
+
+    With (thread, position) as well, the e-mails of a thread are ancestors of those after them.
+    """
+    if "thread" not in emails.columns:
+        emails = emails.select("id", "text", F.lit(None).cast("string").alias("thread"), F.lit(0).alias("position"))
+    one = emails.select("id", "text", F.coalesce("thread", F.col("id")).alias("thread"), "position").dropDuplicates(["id"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        before, out = Thread(), []
+        for i, text, closings in pdf.sort_values(["position", "id"])[["id", "text", "closings"]].itertuples(index=False):
+            learnt = [] if closings is None else list(closings)
+            known = frozenset(c for c in learnt if not SENTENCE.search(c) or FORMULA.match(c) or NOTICE.match(c))
+            out.append((i, new_lines(text, known, "\n".join(learnt).encode(), before if before.pairs else None)))
+            if text:
+                before.add(text)
+        return pd.DataFrame(out, columns=["id", "nos"])
+
+    per = one.join(sender_closings(one), "id", "left").groupBy("thread").applyInPandas(run, "id string, nos array<long>")
     return per.select("id", F.explode("nos").alias("line_no"))

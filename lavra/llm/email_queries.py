@@ -10,7 +10,7 @@ from lavra.session import table
 
 def _emails(spark, d):
     c = table(spark, d, "chunks_titled")
-    return c.filter(is_email(F.col("record_type"))).select(F.col("chunk_id").alias("id"), "text")
+    return c.filter(is_email(F.col("record_type"))).select(F.col("chunk_id").alias("id"), "text", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("record").cast("string")).alias("thread"), "position")
 
 
 def p5_found(spark, d):

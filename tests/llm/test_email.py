@@ -60,3 +60,14 @@ def test_rows(spark):
     got = sorted((r.id, r.line_no) for r in newly_written(c.filter(is_email(F.col("record_type")))).collect())
     assert got == [("a", 6), ("a", 8), ("a", 9), ("a", 26)]
     assert newly_written(c.filter("false")).count() == 0
+
+
+def test_unmarked_copy_of_an_earlier_email_of_the_thread(spark):
+    old = "Bom dia,\n\nO relatório agrupa carga por Natureza e soma a coluna Situação da grade.\nCampo novo: sim\nA conferência do fechamento mensal depende do cadastro de filiais revisado."
+    reply = f"Resposta nova sobre outro assunto ainda não tratado.\n\n{old}"
+    rows = [("b", reply, "1:1", 2), ("a", old, "1:1", 1), ("c", reply, "1:2", 3), ("d", reply, None, 4)]
+    got = {}
+    for r in newly_written(spark.createDataFrame(rows, "id string, text string, thread string, position int")).collect():
+        got.setdefault(r.id, []).append(r.line_no)
+    whole = [1, 3, 5, 6, 7]
+    assert {k: sorted(v) for k, v in got.items()} == {"a": [1, 3, 4, 5], "b": [1], "c": whole, "d": whole}
