@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from lavra.llm.email import compression_gain, is_email, new_lines, newly_written
@@ -71,3 +73,16 @@ def test_unmarked_copy_of_an_earlier_email_of_the_thread(spark):
         got.setdefault(r.id, []).append(r.line_no)
     whole = [1, 3, 5, 6, 7]
     assert {k: sorted(v) for k, v in got.items()} == {"a": [1, 3, 4, 5], "b": [1], "c": whole, "d": whole}
+
+
+def test_far_ancestors_and_many_closings(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    said = [" ".join(word() for _ in range(7)) for _ in range(800)]
+    text = f"Comentário novo.\n\n{said[0]}\n{said[1]}\n\nEm 01/01/2020 10:00, A B escreveu:\n" + "\n".join(f"> {s}" for s in said)
+    assert len(text) > 50_000 and new_lines(text) == [1]
+    # 2,100 closings, each of six e-mails; the same lines before the text's end go too
+    closing = [f"Analista {word()} {word()} {word()}" for _ in range(2100)]
+    mails = [(f"{i}-{k}", f"Linha {word()} {word()}.\n\nAtt,\n{c}" if k else f"Linha {word()}.\n\n{c}\n\nFim {word()} do texto.") for i, c in enumerate(closing) for k in range(7)]
+    got = newly_written(spark.createDataFrame(mails, "id string, text string")).filter("id like '%-0'").groupBy("id").count().filter("count <> 2").count()
+    assert got == 0
