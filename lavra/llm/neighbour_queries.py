@@ -13,7 +13,7 @@ THOROUGH = Plan(per_pivot=1000, probes=8, cell=20_000)
 
 def p6_found(spark, d):
     """Pairs of a cosine of 0.95 or more that are among each other's 5 most similar."""
-    pairs = mutual_pairs(nearest_vectors(vectors_of(spark, d)), 0.95)
+    pairs = mutual_pairs(nearest_vectors(vectors_of(spark, d), THOROUGH), 0.95)
     return pairs.select(F.col("a").alias("chunk_a"), F.col("b").alias("chunk_b"))
 
 

@@ -9,7 +9,8 @@ the neighbours of neighbours, which lie in the same group.
 Defined results
 * A vector is valid when it has ``dims`` finite values, not all zero; only ids in ``known`` count.
   Vectors need not be of unit length. Rows that repeat an id count once (the smallest vector).
-* Each id gets at most k neighbours, never itself; ties go by id. Equal vectors are neighbours.
+* Each id gets at most k neighbours, never itself; ties go by id. Equal vectors are neighbours;
+  the index holds one of them, and the others enter the lists by id.
 * An empty table gives an empty result; fewer than k+1 vectors give all others. Extra columns
   are not read.
 * Nothing is capped: a cell above ``Plan.cell`` members is cut into overlapping cells of its own, and
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.session import staged
@@ -255,6 +256,32 @@ def members_by_cell(cells) -> list[np.ndarray]:
     return np.split(rows, np.flatnonzero(np.diff(flat[order])) + 1)
 
 
+def distinct_vectors(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vectors, copies): of equal vectors the one with the smallest id, and (id, rep) of all that have equals, staged.
+
+    Vectors are equal when two hashes of theirs are, so only these are shuffled.
+    """
+    keyed = vectors.select("id", F.xxhash64("vec").alias("h"), F.hash("vec").alias("g"))
+    groups = keyed.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep")).filter("n > 1")
+    copies = staged(keyed.join(groups, ["h", "g"]).select("id", "rep"), "copies")
+    return vectors.join(copies.filter("id <> rep").select("id"), "id", "left_anti"), copies
+
+
+def with_copies(lists: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+    """(id, c) for every vector, from the lists (id, c) of the distinct ones: equal vectors come by id, k of each at most."""
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("id"))
+    first = copies.withColumn("r", rank).filter(F.col("r") <= k + 1).groupBy("rep").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    first = staged(first, "copies")
+    near = lists.select("id", F.explode("c").alias("x")).join(first.withColumnRenamed("rep", "to"), F.col("x.neighbour") == F.col("to"), "left")
+    each = near.select("id", "x.d", F.explode(F.coalesce("ids", F.array("x.neighbour"))).alias("neighbour"))
+    full = each.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "neighbour"))), 1, k).alias("c"))
+    own = copies.join(first, "rep").join(full.withColumnRenamed("id", "rep"), "rep", "left")
+    equal = F.transform(F.filter("ids", lambda i: i != F.col("id")), lambda i: F.struct(F.lit(-1.0).alias("d"), i.alias("neighbour")))
+    none = F.array().cast("array<struct<d:double,neighbour:string>>")
+    own = own.select("id", F.slice(F.sort_array(F.concat(equal, F.coalesce("c", none))), 1, k).alias("c"))
+    return full.join(copies.select("id"), "id", "left_anti").unionByName(own)
+
+
 def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """(id, neighbour, similarity, rank): the k most similar vectors of each (id, vec)."""
 
@@ -266,13 +293,17 @@ def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
         ids = table.column("id").combine_chunks()
         return pa.table({"id": ids.take(pa.array(r)), "neighbour": ids.take(pa.array(at[r, c])), "similarity": pa.array(sim[r, c].astype(np.float64))})
 
-    found = spread(vectors, plan).groupBy("grp").applyInArrow(search, "id string, neighbour string, similarity double")
+    one, copies = distinct_vectors(vectors)
+    found = spread(one, plan).groupBy("grp").applyInArrow(search, "id string, neighbour string, similarity double")
     # at most k candidates come from each of the few groups that hold the vector
     best = found.groupBy("id").agg(F.collect_set(F.struct((-F.col("similarity")).alias("d"), "neighbour")).alias("c"))
     # a pair met in two groups may differ in the last bit of its similarity; the first of each neighbour stays
     once = F.aggregate(F.sort_array("c"), F.array().cast("array<struct<d:double,neighbour:string>>"),
                        lambda a, x: F.when(F.exists(a, lambda y: y["neighbour"] == x["neighbour"]), a).otherwise(F.concat(a, F.array(x))))
-    top = best.select("id", F.posexplode(F.slice(once, 1, plan.k)).alias("p", "x"))
+    lists = best.select("id", F.slice(once, 1, plan.k).alias("c"))
+    if copies.limit(1).count():
+        lists = with_copies(lists, copies, plan.k)
+    top = lists.select("id", F.posexplode("c").alias("p", "x"))
     return top.select("id", "x.neighbour", (-F.col("x.d")).alias("similarity"), (F.col("p") + 1).alias("rank"))
 
 

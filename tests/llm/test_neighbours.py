@@ -69,3 +69,21 @@ def test_few_and_none(spark):
 def test_matrix_of_sliced_columns():
     a = pa.array([[3.0, 4.0], [1.0, 0.0], [0.0, 2.0]], pa.list_(pa.float32()))
     assert N.matrix(a.slice(1), 2).tolist() == [[1.0, 0.0], [0.0, 1.0]]
+
+
+def test_many_copies_go_by_id(spark):
+    v = clustered(300)
+    near = v[0] + 0.1 * v[1]
+    v = np.concatenate((v, np.repeat(v[:1], 40, axis=0), np.repeat((near / np.linalg.norm(near))[None], 20, axis=0)))
+    ids = [f"{i:03d}" for i in np.random.default_rng(2).permutation(len(v))]
+    rows = [(i, [float(x) for x in r]) for i, r in zip(ids, v)]
+    df = N.valid_vectors(spark.createDataFrame(rows, "id string, vector array<float>"), spark.createDataFrame([(i,) for i in ids], "id string"))
+    got = {}
+    for r in N.nearest_vectors(df).orderBy("rank").collect():
+        got.setdefault(r.id, []).append(r.neighbour)
+    first, second = sorted([ids[0], *ids[300:340]]), sorted(ids[340:])
+    for group in (first, second):
+        assert all(got[i] == [j for j in group if j != i][:5] for i in group)
+    assert len(got) == len(v) and all(len(set(g)) == 5 and i not in g for i, g in got.items())
+    pairs = {(r.a, r.b) for r in N.mutual_pairs(N.nearest_vectors(df), 0.95).collect()}
+    assert {(a, b) for a in first[:6] for b in first[:6] if a < b} <= pairs
