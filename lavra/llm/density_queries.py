@@ -34,7 +34,12 @@ def members_of(numbered):
 
 def p3_clusters(spark, d):
     """Each cluster's size and its most typical members."""
-    return describe_clusters(*density_clusters(vectors_of(spark, d), LEAST))
+    return typical_of(vectors_of(spark, d))
+
+
+def typical_of(numbered):
+    """(cluster_key, size, exemplars) of vectors (num, id, vec); any split may count, by stability."""
+    return describe_clusters(*density_clusters(numbered, LEAST, epsilon=0.0))
 
 
 QUERIES = {"p3_found": p3_found, "p3_clusters": p3_clusters}
