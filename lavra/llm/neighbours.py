@@ -1,10 +1,10 @@
 """Most similar vectors for every vector, by collision counting.
 
-Vectors are put into overlapping cells around pivots, and cells into groups that travel together.
-Inside a cell every vector is a query: its projections on random lines are kept as sorted arrays,
-query-centred windows on them are widened level by level (virtual rehashing), and vectors that fall
-into enough windows are verified by their exact similarity. The lists are then refined by trying
-the neighbours of neighbours, which lie in the same group.
+Vectors are put into overlapping cells around pivots. Inside a cell every vector is a query: its
+projections on random lines are kept as sorted arrays, query-centred windows on them are widened
+level by level (virtual rehashing), and vectors that fall into enough windows are verified by their
+exact similarity. A query whose neighbours lie within a level's radius is settled; for those that are
+left the windows widen until they hold the whole cell, which is then verified as a whole.
 
 Defined results
 * A vector is valid when it has ``dims`` finite values, not all zero; only ids in ``known`` count.
@@ -25,30 +25,32 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.session import staged
 
-#: Pivots and leaders are at most this many vectors, whatever the data's size; so is what is broadcast (3 MB at 192 dims).
-MAX_PIVOTS = 4096
-BLOCK = 256
+#: Pivots are at most this many vectors, whatever the data's size; so is what is broadcast (25 MB at 192 dims).
+MAX_PIVOTS = 32_768
+#: Rows searched at once, columns counted or multiplied at once, and steps that a projection is kept in for each unit of length.
+BLOCK, WIDTH, STEPS = 128, 4096, 32
+#: Share of the pairs in a block's windows above which comparing every member is cheaper than counting.
+DENSE = 0.04
 
 
 @dataclass(frozen=True)
 class Plan:
     dims: int = 192
     k: int = 5
-    per_pivot: int = 250  # vectors for each pivot
-    per_group: int = 2500  # vectors for each group of cells that travels and is searched together
-    probes: int = 5  # cells that each vector joins
-    lines: int = 16  # projections
-    share: float = 0.7  # of the windows that a candidate falls into
+    per_pivot: int = 5000  # vectors for each pivot
+    probes: int = 4  # cells that each vector joins
+    lines: int = 32  # projections
+    share: float = 0.75  # of the windows that a candidate falls into
     reach: float = 1.5  # half window as a multiple of the radius
-    radii: tuple[float, ...] = (0.32, 0.64, 1.28, 2.0)
-    cell: int = 6000  # members above which a cell is cut into overlapping ones
-    wide: int = 10  # neighbours kept while refining
-    rounds: int = 2
+    radii: tuple[float, ...] = (0.57, 1.14)  # after the last one the windows hold the whole cell
+    cell: int = 60_000  # members above which a cell is cut into overlapping ones
+    wide: int = 10  # neighbours kept while searching
 
 
 def valid_vectors(vectors: DataFrame, known: DataFrame, dims: int = 192) -> DataFrame:
@@ -93,13 +95,11 @@ def matrix(column, dims: int) -> np.ndarray:
     return v
 
 
-def choose_pivots(vectors: DataFrame, n: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """(pivots, group of each pivot): the vectors with the smallest hashed ids; the first ones lead groups."""
+def choose_pivots(vectors: DataFrame, n: int, plan: Plan) -> np.ndarray:
+    """The vectors with the smallest hashed ids, in the number that the plan asks for."""
     want = int(min(MAX_PIVOTS, max(1, -(-n // plan.per_pivot))))
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(want).select("vec").collect()  # at most MAX_PIVOTS
-    pivots = matrix(pa.array([list(r[0]) for r in rows], pa.list_(pa.float32())), plan.dims)
-    leaders = pivots[: int(max(1, min(len(pivots), -(-n // plan.per_group))))]
-    return pivots, np.argmax(pivots @ leaders.T, 1).astype(np.int32)
+    return matrix(pa.array([list(r[0]) for r in rows], pa.list_(pa.float32())), plan.dims)
 
 
 def nearest(v: np.ndarray, pivots: np.ndarray, t: int) -> np.ndarray:
@@ -113,31 +113,23 @@ def nearest(v: np.ndarray, pivots: np.ndarray, t: int) -> np.ndarray:
 
 
 def spread(vectors: DataFrame, plan: Plan) -> DataFrame:
-    """(grp, id, vec, cells): each vector once for every group that holds one of its cells."""
+    """(cell, id, vec): each vector once for every cell that it joins."""
     n = vectors.count()
-    pivots, group = choose_pivots(vectors, n, plan) if n else (np.zeros((1, plan.dims), np.float32), np.zeros(1, np.int32))
-    shared = vectors.sparkSession.sparkContext.broadcast((pivots, group))
+    shared = vectors.sparkSession.sparkContext.broadcast(choose_pivots(vectors, n, plan) if n else np.zeros((1, plan.dims), np.float32))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, group = shared.value
+        pivots = shared.value
         for b in batches:
-            if not b.num_rows:
-                continue
-            cells = nearest(matrix(b.column(1), plan.dims), pivots, plan.probes)
-            own = np.sort(group[cells], 1)
-            first = np.concatenate((np.ones((len(own), 1), bool), own[:, 1:] != own[:, :-1]), 1)
-            row, at = np.nonzero(first)
-            packed = [cells[i][group[cells[i]] == g].tolist() for i, g in zip(row, own[row, at])]
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[row, at], pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array(packed, pa.list_(pa.int32()))], ["grp", "id", "vec", "cells"]
-            )
+            if b.num_rows:
+                cells = nearest(matrix(b.column(1), plan.dims), pivots, plan.probes)
+                take = pa.array(np.repeat(np.arange(b.num_rows), cells.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel(), pa.int32()), b.column(0).take(take), b.column(1).take(take)], ["cell", "id", "vec"])
 
-    return vectors.select("id", "vec").mapInArrow(send, "grp int, id string, vec array<float>, cells array<int>")
+    return vectors.select("id", "vec").mapInArrow(send, "cell int, id string, vec array<float>")
 
 
 class Lists:
-    """The best neighbours of each row so far: indexes and similarities, best first."""
+    """The best neighbours of each row so far: indexes and similarities, best first, ties by index."""
 
     def __init__(self, n: int, k: int):
         self.at, self.sim = np.full((n, k), -1, np.int32), np.full((n, k), -2, np.float32)
@@ -155,51 +147,92 @@ class Lists:
         self.at[rows], self.sim[rows] = np.take_along_axis(at, o, 1), np.take_along_axis(sim, o, 1)
         self.at[rows] = np.where(self.sim[rows] > -2, self.at[rows], -1)
 
-
-def count_collisions(lines: np.ndarray, rows: np.ndarray, cols: slice, half: int) -> np.ndarray:
-    """Windows centred on each row that each column falls into; ``lines`` is lines x members."""
-    out = np.zeros((len(rows), cols.stop - cols.start), np.uint8)
-    for line in lines:
-        out += np.abs(line[None, cols] - line[rows, None]) <= half
-    return out
+    def offer_pairs(self, rows: np.ndarray, r: np.ndarray, at: np.ndarray, sim: np.ndarray) -> None:
+        """The same from pairs sorted by ``r``, the place of their row in ``rows``."""
+        if not len(r):
+            return
+        each = np.bincount(r, minlength=len(rows))
+        some = np.flatnonzero(each)
+        place = np.arange(len(r)) - np.repeat(np.cumsum(each) - each, each)
+        row = np.searchsorted(some, r)
+        wide, near = np.full((len(some), each.max()), -1, np.int32), np.full((len(some), each.max()), -2, np.float32)
+        wide[row, place], near[row, place] = at, sim
+        self.offer(rows[some], wide, near)
+
+
+def collisions(lines: np.ndarray, rows: np.ndarray, lo: int, hi: int, half: int, need: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(place in rows, column) of the columns in ``need`` windows or more, or None where these are many."""
+    start = (lines[:, rows].astype(np.int16) - half).astype(np.uint8)  # below zero it wraps, as the difference does
+    found_r, found_c, most = [], [], DENSE * len(rows) * max(1, hi - lo)
+    shape = (len(rows), min(WIDTH, max(0, hi - lo)))
+    apart, inside, count = np.empty(shape, np.uint8), np.empty(shape, bool), np.empty(shape, np.uint8)
+    for b in range(lo, hi, WIDTH):
+        n = min(WIDTH, hi - b)
+        count[:, :n] = 0
+        for line, s in zip(lines, start):
+            np.subtract(line[None, b : b + n], s[:, None], out=apart[:, :n])
+            np.less_equal(apart[:, :n], np.uint8(2 * half), out=inside[:, :n])
+            np.add(count[:, :n], inside[:, :n].view(np.uint8), out=count[:, :n])
+        r, c = np.nonzero(count[:, :n] >= need)
+        most -= len(r)
+        if most < 0:
+            return None
+        found_r.append(r)
+        found_c.append(c + b)
+    if not found_r:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    r, c = np.concatenate(found_r), np.concatenate(found_c)
+    order = np.argsort(r, kind="stable")
+    return r[order], c[order]
+
+
+def compare_all(x: np.ndarray, members: np.ndarray, rows: np.ndarray, lists: Lists) -> None:
+    """Offer these rows of x their neighbours among all of x."""
+    k = lists.at.shape[1]
+    for a in range(0, len(rows), 2 * BLOCK):
+        own = rows[a : a + 2 * BLOCK]
+        for b in range(0, len(x), WIDTH):
+            sim = x[own] @ x[b : b + WIDTH].T
+            here = np.flatnonzero((own >= b) & (own < b + WIDTH))
+            sim[here, own[here] - b] = -2
+            hit = sim >= np.maximum(lists.sim[members[own], k - 1], -1)[:, None]  # what may still enter a list
+            if np.count_nonzero(hit) > DENSE * hit.size:
+                m = min(k, sim.shape[1])
+                at = np.argpartition(-sim, m - 1, 1)[:, :m] if m < sim.shape[1] else np.broadcast_to(np.arange(m), sim.shape)
+                best = np.take_along_axis(sim, at, 1)
+                lists.offer(members[own], np.where(best > -2, members[b : b + WIDTH][at], -1), best)
+            else:
+                r, c = np.nonzero(hit)
+                lists.offer_pairs(members[own], r, members[b : b + WIDTH][c], sim[r, c])
 
 
 def search_cell(v: np.ndarray, members: np.ndarray, lines: np.ndarray, lists: Lists, plan: Plan) -> None:
     """Offer each member its neighbours among the members."""
-    k, scale = lists.at.shape[1], 2048
-    order = np.argsort(lines[0, members], kind="stable")
-    members = members[order]
-    own, first, x = lines[:, members], lines[0, members], v[members]
-    need = int(np.ceil(plan.share * len(lines)))
+    members = members[np.argsort(lines[0, members], kind="stable")]
+    own, x = np.ascontiguousarray(lines[:, members]), v[members]
+    first, need = own[0].astype(np.int16), int(np.ceil(plan.share * len(lines)))
+    left = []
+    dense = [False] * len(plan.radii)  # windows of this radius were found to hold too much of this cell
     for a in range(0, len(members), BLOCK):
         active = np.arange(a, min(a + BLOCK, len(members)))
-        for radius in plan.radii:
-            half = int(plan.reach * radius * scale)
+        for i, radius in enumerate(plan.radii):
+            half = int(plan.reach * radius * STEPS)
+            if half > 127 or dense[i] or not len(active):
+                break
             # the sorted first line bounds what can lie in the windows of this block
-            lo, hi = np.searchsorted(first, [int(first[active[0]]) - half, int(first[active[-1]]) + half + 1])
-            cols = slice(int(lo), int(hi))
-            hit = count_collisions(own, active, cols, half) >= need
-            hit[np.arange(len(active)), active - cols.start] = False
-            per_row = hit.sum(1)
-            if per_row.sum() > 0.04 * hit.size:
-                sim = x[active] @ x[cols].T
-                sim[~hit] = -2
-                m = min(k, sim.shape[1])
-                at = np.argpartition(-sim, m - 1, 1)[:, :m] if m < sim.shape[1] else np.broadcast_to(np.arange(m), sim.shape)
-                lists.offer(members[active], np.where(np.take_along_axis(sim, at, 1) > -2, members[cols][at], -1), np.take_along_axis(sim, at, 1))
-            elif per_row.any():
-                r, c = np.nonzero(hit)
-                s = np.einsum("ij,ij->i", x[active[r]], x[cols][c])
-                at = np.full((len(active), per_row.max()), -1, np.int32)
-                sim = np.full(at.shape, -2, np.float32)
-                place = np.arange(len(r)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-                at[r, place], sim[r, place] = members[cols][c], s
-                lists.offer(members[active], at, sim)
-            # a query is settled when its k-th neighbour lies within the radius that was searched
-            settled = lists.sim[members[active], plan.k - 1] >= 1 - radius * radius / 2
-            active = active[~settled]
-            if not len(active):
+            lo, hi = np.searchsorted(first, [first[active[0]] - half, first[active[-1]] + half + 1])
+            found = collisions(own, active, int(lo), int(hi), half, need)
+            if found is None:
+                dense[i] = True
                 break
+            r, c = found
+            r, c = r[c != active[r]], c[c != active[r]]
+            lists.offer_pairs(members[active], r, members[c], np.einsum("ij,ij->i", x[active[r]], x[c]))
+            # a query is settled when its k-th neighbour lies within the radius that was searched
+            active = active[lists.sim[members[active], plan.k - 1] < 1 - radius * radius / 2]
+        left.append(active)
+    # the next windows hold the whole cell for all that is left
+    compare_all(x, members, np.concatenate(left) if left else np.empty(0, np.int64), lists)
 
 
 def cells_of(v: np.ndarray, members: np.ndarray, plan: Plan, depth: int = 0) -> Iterator[np.ndarray]:
@@ -207,7 +240,7 @@ def cells_of(v: np.ndarray, members: np.ndarray, plan: Plan, depth: int = 0) ->
     if len(members) <= plan.cell or depth == 4:
         yield members
         return
-    pivots = v[members[:: plan.per_pivot * 2]]
+    pivots = v[members[:: plan.cell // 8]]
     near = nearest(v[members], pivots, plan.probes)
     flat = near.ravel()
     order = np.argsort(flat, kind="stable")
@@ -216,44 +249,29 @@ def cells_of(v: np.ndarray, members: np.ndarray, plan: Plan, depth: int = 0) ->
         yield from cells_of(v, part, plan, depth + 1) if len(part) < 0.8 * len(members) else iter((part,))
 
 
-def refine(v: np.ndarray, lists: Lists, plan: Plan) -> None:
-    """Try the neighbours of each vector's neighbours."""
-    n, k = lists.at.shape
-    for _ in range(plan.rounds):
-        for a in range(0, n, 512):
-            rows = np.arange(a, min(a + 512, n))
-            near = lists.at[rows]
-            two = lists.at[np.maximum(near, 0)]
-            two[near < 0] = -1
-            two = two.reshape(len(rows), -1)
-            two[two == rows[:, None]] = -1
-            two = np.sort(two, 1)
-            two[:, 1:][two[:, 1:] == two[:, :-1]] = -1
-            sim = np.einsum("ijk,ik->ij", v[np.maximum(two, 0)], v[rows])
-            sim[two < 0] = -2
-            lists.offer(rows, two, sim)
-
-
-def search_group(v: np.ndarray, cells: list[np.ndarray], plan: Plan) -> Lists:
-    """Neighbours within a group of cells; ``cells`` holds the members of each."""
+def search_members(v: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """(indexes, similarities) of each row's neighbours among the rows, -1 where there are fewer."""
     rng = np.random.default_rng(20240501)
     axes = rng.standard_normal((plan.dims, plan.lines)).astype(np.float32)
-    lines = np.clip((v @ axes) * 2048, -16000, 16000).astype(np.int16).T.copy()
+    lines = (np.clip(np.rint((v @ axes) * STEPS), -127, 127) + 128).astype(np.uint8).T.copy()
     lists = Lists(len(v), max(plan.k, plan.wide))
-    for c in cells:
-        for part in cells_of(v, c, plan):
-            search_cell(v, part, lines, lists, plan)
-    refine(v, lists, plan)
-    return lists
+    for part in cells_of(v, np.arange(len(v)), plan):
+        search_cell(v, part, lines, lists, plan)
+    # similarities anew in double precision: a pair has the same one wherever it is met
+    sim = np.full(lists.at.shape, -2.0)
+    for a in range(0, len(v), 512):
+        near = lists.at[a : a + 512]
+        sim[a : a + 512] = np.where(near >= 0, np.einsum("ijk,ik->ij", v[np.maximum(near, 0)].astype(np.float64), v[a : a + 512].astype(np.float64)), -2.0)
+    order = np.lexsort((lists.at, -sim), axis=1)
+    return np.take_along_axis(lists.at, order, 1), np.take_along_axis(sim, order, 1)
 
 
-def members_by_cell(cells) -> list[np.ndarray]:
-    """Row numbers of each cell, from each row's list of cells."""
-    sizes = np.fromiter(map(len, cells), np.int64, len(cells))
-    flat = np.concatenate([np.asarray(c, np.int64) for c in cells]) if len(cells) else np.empty(0, np.int64)
-    order = np.argsort(flat, kind="stable")
-    rows = np.repeat(np.arange(len(cells)), sizes)[order]
-    return np.split(rows, np.flatnonzero(np.diff(flat[order])) + 1)
+def sorted_members(table: pa.Table, dims: int, by: str = "id") -> tuple[pa.Array, np.ndarray]:
+    """(ids, unit vectors) of a cell in the order of the ids, so that ties of similarity go by id."""
+    table = table.select([by, "vec"]).combine_chunks()
+    table = table.take(pc.sort_indices(table, sort_keys=[(by, "ascending")]))
+    ids = table.column(by).combine_chunks()
+    return ids, matrix(table.column("vec"), dims)
 
 
 def distinct_vectors(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -286,18 +304,17 @@ def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """(id, neighbour, similarity, rank): the k most similar vectors of each (id, vec)."""
 
     def search(table: pa.Table) -> pa.Table:
-        v = matrix(table.column("vec"), plan.dims)
-        found = search_group(v, members_by_cell(table.column("cells").to_pylist()), plan)
-        at, sim = found.at[:, : plan.k], found.sim[:, : plan.k]
+        ids, v = sorted_members(table, plan.dims)
+        at, sim = search_members(v, plan)
+        at, sim = at[:, : plan.k], sim[:, : plan.k]
         r, c = np.nonzero(at >= 0)
-        ids = table.column("id").combine_chunks()
-        return pa.table({"id": ids.take(pa.array(r)), "neighbour": ids.take(pa.array(at[r, c])), "similarity": pa.array(sim[r, c].astype(np.float64))})
+        return pa.table({"id": ids.take(pa.array(r)), "neighbour": ids.take(pa.array(at[r, c])), "similarity": pa.array(sim[r, c])})
 
     one, copies = distinct_vectors(vectors)
-    found = spread(one, plan).groupBy("grp").applyInArrow(search, "id string, neighbour string, similarity double")
-    # at most k candidates come from each of the few groups that hold the vector
+    found = spread(one, plan).groupBy("cell").applyInArrow(search, "id string, neighbour string, similarity double")
+    # at most k candidates come from each of the few cells that hold the vector
     best = found.groupBy("id").agg(F.collect_set(F.struct((-F.col("similarity")).alias("d"), "neighbour")).alias("c"))
-    # a pair met in two groups may differ in the last bit of its similarity; the first of each neighbour stays
+    # a pair may be met in several cells; the first of each neighbour stays
     once = F.aggregate(F.sort_array("c"), F.array().cast("array<struct<d:double,neighbour:string>>"),
                        lambda a, x: F.when(F.exists(a, lambda y: y["neighbour"] == x["neighbour"]), a).otherwise(F.concat(a, F.array(x))))
     lists = best.select("id", F.slice(once, 1, plan.k).alias("c"))

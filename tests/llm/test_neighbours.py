@@ -36,7 +36,7 @@ def test_recall_against_brute_force(spark):
     v = clustered()
     df = N.valid_vectors(spark.createDataFrame(rows_of(v), "id string, vector array<float>"), spark.createDataFrame([(str(i),) for i in range(len(v))], "id string"))
     got = {}
-    for r in N.nearest_vectors(df, N.Plan(per_pivot=60, per_group=300)).collect():
+    for r in N.nearest_vectors(df, N.Plan(per_pivot=100)).collect():
         got.setdefault(int(r.id), {})[r.rank] = int(r.neighbour)
     want = brute(v, 5)
     assert all(sorted(g) == [1, 2, 3, 4, 5] and len(set(g.values())) == 5 and i not in g.values() for i, g in got.items())
@@ -55,9 +55,22 @@ def test_near_pairs_and_copies(spark):
 
 
 def test_big_cell_of_copies_is_searched():
-    v = np.tile(np.eye(1, DIMS, dtype=np.float32), (N.Plan().cell + 500, 1))
-    found = N.search_group(v, [np.arange(len(v))], N.Plan(rounds=0, wide=5))
-    assert (found.sim[:, :5] > 0.999).all()
+    plan = N.Plan(cell=1500, wide=5)
+    v = np.tile(np.eye(1, DIMS, dtype=np.float32), (plan.cell + 500, 1))
+    assert (N.search_members(v, plan)[1][:, :5] > 0.999).all()
+
+
+def test_search_of_a_cell_against_brute_force():
+    rng = np.random.default_rng(4)
+    near = clustered(4000, 100)
+    v = np.concatenate((near, rng.standard_normal((500, DIMS)).astype(np.float32)))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    at, sim = N.search_members(v, N.Plan())
+    want = brute(v, 5)
+    found = [len(set(a[:5].tolist()) & set(w.tolist())) / 5 for a, w in zip(at, want)]
+    assert np.mean(found[4000:]) == 1 and np.mean(found[:4000]) > 0.97
+    parts, _ = N.search_members(v, N.Plan(cell=2000))
+    assert np.mean([len(set(a[:5].tolist()) & set(w.tolist())) / 5 for a, w in zip(parts, want)]) > 0.9
 
 
 def test_few_and_none(spark):
