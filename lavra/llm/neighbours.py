@@ -319,7 +319,7 @@ def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
                        lambda a, x: F.when(F.exists(a, lambda y: y["neighbour"] == x["neighbour"]), a).otherwise(F.concat(a, F.array(x))))
     lists = best.select("id", F.slice(once, 1, plan.k).alias("c"))
     if copies.limit(1).count():
-        lists = with_copies(lists, copies, plan.k)
+        lists = with_copies(staged(lists, "lists"), copies, plan.k)  # read twice, searched once
     top = lists.select("id", F.posexplode("c").alias("p", "x"))
     return top.select("id", "x.neighbour", (-F.col("x.d")).alias("similarity"), (F.col("p") + 1).alias("rank"))
 
