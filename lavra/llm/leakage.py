@@ -18,32 +18,36 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.functions.fold import fold
+from lavra.llm.words import END, Hashes, Splitter, portions
 
-_WORD = re.compile("[a-z0-9]+")
 _MULT = np.uint64(0xD6E8FEB86659FD93)
 
 #: Words of all items up to which the seed index is broadcast (24 bytes a word); beyond it seeds are joined by shuffle.
 BROADCAST_WORDS = 2_000_000
 
-HIT_SCHEMA = "doc_id long, item_id long, longest long, score double, start_word long, end_word long"
+HIT_SCHEMA = "doc_id long, item_id long, longest long, points long, score double, start_word long, end_word long"
+NAMES = [c.split(" ")[0] for c in HIT_SCHEMA.split(", ")]
 
+#: What a word gives an alignment that it matches, and what one that differs or is left out costs.
+MATCH, MISS, GAP = 2, -1, -1
+#: Cells of the alignments that are computed side by side.
+SIDE_BY_SIDE = 300_000
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(fold(text))
 
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, position of each text's end): a mark that no window may hold stands after each text."""
+    h = _HASHES.of(_SPLITTER.split(texts))
+    return h, np.flatnonzero(h == _HASHES[END])
 
-def _word_hash(w: str) -> int:
-    return xxhash.xxh64_intdigest(w) | 1  # 0 stays free for words of no item
+
+_SPLITTER, _HASHES = Splitter(plain=True), Hashes()
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -88,8 +92,7 @@ class SeedIndex:
         rows = sorted({(i, t) for i, t in rows if t}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         self.ids = [i for i, _ in rows]
         owners = {i: n for n, i in enumerate(dict.fromkeys(self.ids))}
-        self.words = [np.fromiter(map(_word_hash, words_of(t)), np.uint64) for _, t in rows]
-        self.vocabulary = {w: _word_hash(w) for _, t in rows for w in words_of(t)}
+        self.words = [h[:-1] for h, _ in (word_hashes([t]) for _, t in rows)]
         owner = np.array([owners[i] for i in self.ids], dtype=np.int64)
         sh, si, sp = _unique_windows(self.words, owner, short, unique and unique[short])
         eh, ei, ep = _unique_windows(self.words, owner, exact, unique and unique[exact])
@@ -100,64 +103,83 @@ class SeedIndex:
         order = np.argsort(eh, kind="stable")
         self.exact_sorted, self.exact_owner = eh[order], ei[order]
 
-    @staticmethod
-    def _sorted(h, i, p):
+    def _sorted(self, h, i, p):
         o = np.argsort(h, kind="stable")
-        return h[o], i[o], p[o]
+        # most windows of a text are told apart from all seeds by their lowest bits
+        present = np.zeros(1 << max(10, int(len(h) * 8).bit_length()), bool)
+        present[(h & np.uint64(len(present) - 1)).astype(np.int64)] = True
+        return h[o], i[o], p[o], present
 
     def matches(self, h: np.ndarray):
-        """(item index, item position, text position) of every seed in a text's word hashes."""
+        """(item index, text position) of every seed in word hashes."""
         out = []
-        for n, (table, items, pos) in self.tables.items():
+        for n, (table, items, _, present) in self.tables.items():
             if not len(table):
                 continue
             g = gram_hashes(h, n)
-            lo = np.searchsorted(table, g, "left")
-            hit = np.flatnonzero((lo < len(table)) & (table[np.minimum(lo, len(table) - 1)] == g))
-            if not len(hit):
-                continue
-            lo, hi = lo[hit], np.searchsorted(table, g[hit], "right")
+            at = np.flatnonzero(present[(g & np.uint64(len(present) - 1)).astype(np.int64)])
+            g = g[at]
+            lo, hi = np.searchsorted(table, g, "left"), np.searchsorted(table, g, "right")
             reps = hi - lo
             k = np.repeat(lo, reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-            out.append((items[k], pos[k], np.repeat(hit, reps)))
-        if not out:
-            return None
-        return [np.concatenate(x) for x in zip(*out)]
+            out.append((items[k], np.repeat(at, reps)))
+        return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64)]
 
 
-def smith_waterman(a: np.ndarray, b: np.ndarray, match: int = 2, miss: int = -1, gap: int = -1) -> tuple[int, int, int]:
-    """Best local alignment of word arrays: (score, start in b, end in b), one row of a at a time.
+def smith_waterman(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Best local alignment of each pair of word arrays: rows (points, start in b, end in b).
 
-    The row's gap recursion is a running maximum of values shifted by their column, so a row is a
-    few vector operations.
+    All pairs are aligned side by side, one row of their matrices at a time. The row's gap recursion
+    is a running maximum of values shifted by their column, so a row is a few operations on arrays.
     """
-    n = len(b)
+    rows, n = max(map(len, a)), max(map(len, b))
+    x, y = np.full((len(a), rows), 1 << 1, np.uint64), np.full((len(a), n), 1 << 2, np.uint64)  # even: no word
+    for i, (p, q) in enumerate(zip(a, b)):
+        x[i, : len(p)], y[i, : len(q)] = p, q
     cols = np.arange(n + 1, dtype=np.int32)
-    prev = np.zeros(n + 1, np.int32)
-    begun = cols.copy()  # where in b the alignment that ends here began
-    best = (0, 0, 0)
-    for x in a:
-        diag = prev[:-1] + np.where(b == x, match, miss).astype(np.int32)
-        up = prev[1:] + gap
-        cur = np.zeros(n + 1, np.int32)
-        cur[1:] = np.maximum(np.maximum(diag, up), 0)
-        start = cols.copy()
-        start[1:] = np.where(cur[1:] == 0, cols[1:], np.where(diag >= up, begun[:-1], begun[1:]))
-        shifted = cur - gap * cols
-        run = np.maximum.accumulate(shifted)
-        left = run + gap * cols
-        better = left > cur
-        if better.any():
-            source = np.maximum.accumulate(np.where(shifted == run, cols, 0))
-            start = np.where(better, start[source], start)
-            cur = np.where(better, left, cur)
-        prev, begun = cur, start
-        j = int(cur.argmax())
-        if cur[j] > best[0]:
-            best = (int(cur[j]), int(start[j]), j)
+    slope = GAP * cols
+    prev = np.zeros((len(a), n + 1), np.int32)
+    begun = np.broadcast_to(cols, prev.shape).copy()  # where in b the alignment that ends here began
+    best = np.zeros((len(a), 3), np.int64)
+    each = np.arange(len(a))
+    for r in range(rows):
+        diag = prev[:, :-1] + np.where(y == x[:, r, None], np.int32(MATCH), np.int32(MISS))
+        up = prev[:, 1:] + np.int32(GAP)
+        cur = np.zeros_like(prev)
+        np.maximum(diag, up, out=cur[:, 1:])
+        np.maximum(cur, 0, out=cur)
+        start = begun.copy()
+        start[:, 1:] = np.where(cur[:, 1:] == 0, cols[1:], np.where(diag >= up, begun[:, :-1], begun[:, 1:]))
+        shifted = cur - slope
+        run = np.maximum.accumulate(shifted, axis=1)
+        source = np.maximum.accumulate(np.where(shifted == run, cols, 0), axis=1)
+        left = run + slope
+        start = np.where(left > cur, np.take_along_axis(start, source, 1), start)
+        prev, begun = np.maximum(cur, left), start
+        j = prev.argmax(1)
+        top = prev[each, j]
+        new = top > best[:, 0]
+        best[new] = np.stack((top, begun[each, j], j), 1)[new]
     return best
 
 
+def align(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The same for any number of pairs: those of like size are aligned side by side."""
+    order = np.lexsort(([len(x) for x in a], [len(x) for x in b]))
+    out = np.zeros((len(a), 3), np.int64)
+    at = 0
+    while at < len(order):
+        end, width = at, 0
+        while end < len(order):
+            width = max(width, len(b[order[end]]))
+            if end > at and width * (end - at + 1) > SIDE_BY_SIDE:
+                break
+            end += 1
+        out[order[at:end]] = smith_waterman([a[k] for k in order[at:end]], [b[k] for k in order[at:end]])
+        at = end
+    return out
+
+
 def _longest_run(mask: np.ndarray, n: int) -> int:
     """Words in the longest stretch made of consecutive windows of n words."""
     if not mask.any():
@@ -166,50 +188,56 @@ def _longest_run(mask: np.ndarray, n: int) -> int:
     return int((edges[1::2] - edges[::2]).max()) + n - 1
 
 
-def _align(index: SeedIndex, h: np.ndarray, m) -> Iterator[tuple]:
-    """(item id, longest exact unique stretch, score share, start word, end word) per item of a text."""
-    items, ipos, tpos = m
-    exact = None
-    for i in np.unique(items):
-        own = items == i
-        size = len(index.words[i])
-        at = np.unique(tpos[own])
-        cuts = np.flatnonzero(np.diff(at) > size)
-        starts, ends = at[np.concatenate(([0], cuts + 1))], at[np.concatenate((cuts, [len(at) - 1]))]
-        if exact is None:
-            exact = gram_hashes(h, index.exact)
-        best = None
-        for s, e in zip(starts, ends):
-            a, b = max(0, s - size), min(len(h), e + size + index.short)
-            score, x, y = smith_waterman(index.words[i], h[a:b])
-            g = exact[a : max(a, b - index.exact + 1)]
-            lo = np.searchsorted(index.exact_sorted, g)
-            ok = lo < len(index.exact_sorted)
-            ok[ok] = index.exact_sorted[lo[ok]] == g[ok]
-            # a window found here belongs to one item id; keep those of this one
-            ok[ok] = [index.ids[index.exact_owner[k]] == index.ids[i] for k in lo[ok]]
-            row = (_longest_run(ok, index.exact), score / (2 * size), a + x, a + y)
-            best = row if best is None or row[:2] > best[:2] else best
-        yield (index.ids[i], *best)
+def passages(index: SeedIndex, h: np.ndarray, ends: np.ndarray) -> Iterator[tuple]:
+    """(text, item id, longest exact unique stretch, points, score, start word, end word): each text's best passage per item."""
+    items, at = index.matches(h)
+    if not len(at):
+        return
+    text = np.searchsorted(ends, at)
+    order = np.lexsort((at, items, text))
+    items, at, text = items[order], at[order], text[order]
+    size = np.array([len(w) for w in index.words])
+    new = (items[1:] != items[:-1]) | (text[1:] != text[:-1]) | (at[1:] - at[:-1] > size[items[1:]])
+    first, last = np.concatenate(([0], np.flatnonzero(new) + 1)), np.concatenate((np.flatnonzero(new), [len(at) - 1]))
+    item, text = items[first], text[first]
+    begin = np.where(text > 0, ends[text - 1] + 1, 0)
+    a = np.maximum(begin, at[first] - size[item])
+    b = np.minimum(ends[text], at[last] + size[item] + index.exact)
+    points = align([index.words[i] for i in item], [h[x:y] for x, y in zip(a, b)])
+    best: dict[tuple, tuple] = {}
+    for k, i in enumerate(item.tolist()):
+        # a stretch of ``exact`` words gives its alignment MATCH for each, so lower ones hold none
+        longest = _unique_stretch(index, h[a[k] : b[k]], i) if points[k, 0] >= MATCH * index.exact else 0
+        row = (longest, int(points[k, 0]), points[k, 0] / (MATCH * size[i]), int(a[k] - begin[k] + points[k, 1]), int(a[k] - begin[k] + points[k, 2]))
+        key = (int(text[k]), i)
+        if key not in best or row[:2] > best[key][:2]:
+            best[key] = row
+    for (t, i), row in best.items():
+        yield (t, index.ids[i], *row)
+
+
+def _unique_stretch(index: SeedIndex, h: np.ndarray, item: int) -> int:
+    """The longest stretch of windows of ``exact`` words that only this item id holds, in words."""
+    g = gram_hashes(h, index.exact)
+    lo = np.searchsorted(index.exact_sorted, g)
+    ok = lo < len(index.exact_sorted)
+    ok[ok] = index.exact_sorted[lo[ok]] == g[ok]
+    ok[ok] = [index.ids[index.exact_owner[k]] == index.ids[item] for k in lo[ok]]
+    return _longest_run(ok, index.exact)
+
+
+def _rows(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=NAMES).astype({"doc_id": "Int64", "item_id": "Int64"})
 
 
 def _search(index):
     """Direct search: seeds are looked up in a broadcast index while the texts stream by."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ix: SeedIndex = index.value
-        known = ix.vocabulary.get
         for b in batches:
-            out = []
-            for doc, text in zip(b["doc_id"], b["text"]):
-                if not text:
-                    continue
-                h = np.array([known(w, 0) for w in words_of(text)], dtype=np.uint64)
-                m = ix.matches(h)
-                if m is not None:
-                    out += [(doc, *row) for row in _align(ix, h, m)]
-            f = pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "score", "start_word", "end_word"])
-            yield f.astype({"doc_id": "Int64", "item_id": "Int64"})
+            docs = b["doc_id"].tolist()
+            for first, texts in portions(b["text"]):
+                yield _rows([(None if pd.isna(d := docs[first + t]) else d, *row) for t, *row in passages(index.value, *word_hashes(texts))])
 
     return run
 
@@ -219,7 +247,7 @@ def _seed_rows(sizes: tuple[int, ...]):
         for b in batches:
             parts = []
             for k, text in zip(b["k"], b["text"]):
-                h = np.array([_word_hash(w) for w in words_of(text or "")], dtype=np.uint64)
+                h = word_hashes([text or ""])[0][:-1]
                 for n in sizes:
                     parts.append(pd.DataFrame({"seed": np.unique(gram_hashes(h, n)).astype(np.int64)}).assign(k=k, n=n))
             if parts:
@@ -237,21 +265,18 @@ def _search_pairs(short: int, exact: int):
             for doc, text, item, item_text, s, e in zip(b["doc_id"], b["text"], b["item_id"], b["item_text"], b["short"], b["exact"]):
                 unique = {short: np.array(s, dtype=np.int64).astype(np.uint64), exact: np.array(e, dtype=np.int64).astype(np.uint64)}
                 ix = SeedIndex([(None if pd.isna(item) else item, item_text)], short, exact, unique)
-                h = np.array([ix.vocabulary.get(w, 0) for w in words_of(text)], dtype=np.uint64)
-                m = ix.matches(h)
-                if m is not None:
-                    out += [(doc, *row) for row in _align(ix, h, m)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "score", "start_word", "end_word"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+                out += [(None if pd.isna(doc) else doc, *row) for _, *row in passages(ix, *word_hashes([text]))]
+            yield _rows(out)
 
     return run
 
 
 def leaked_passages(documents: DataFrame, items: DataFrame, short: int = 6, exact: int = 12, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
-    """(doc_id, item_id, longest, score, start_word, end_word): each text's best passage per item it shares a seed with.
+    """(doc_id, item_id, longest, points, score, start_word, end_word): each text's best passage per item it shares a seed with.
 
-    ``longest`` is the longest stretch of windows of ``exact`` words that only this item holds, in
-    words; ``score`` is the alignment's score as a share of a whole match; start and end are its
-    words in the text.
+    ``points`` are the alignment's; ``score`` is their share of a whole match; start and end are its
+    words in the text. ``longest`` is the longest stretch of windows of ``exact`` words that only this
+    item holds, in words; it is sought where the points reach those of such a stretch.
     """
     spark = documents.sparkSession
     items = items.select("item_id", "text").filter("text is not null")

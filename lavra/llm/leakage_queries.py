@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm.leakage import leaked_passages
+from lavra.llm.leakage import MATCH, leaked_passages
 from lavra.session import table
 
 
@@ -14,12 +14,13 @@ def _passages(spark, d):
 
 def p8_found(spark, d):
     """Documents that hold 12 consecutive words of one item and no other."""
-    return _passages(spark, d).filter("longest >= 12").select("doc_id", "item_id").distinct()
+    aligned = _passages(spark, d).filter(F.col("points") >= 12 * MATCH)  # the exact check follows
+    return aligned.filter("longest >= 12").select("doc_id", "item_id").distinct()
 
 
 def p8_aligned(spark, d):
     """Every passage aligned with an item over a tenth of its words or more, edited copies included."""
-    return _passages(spark, d).filter("score >= 0.1").withColumn("score", F.round("score", 6))
+    return _passages(spark, d).filter("score >= 0.1").withColumn("score", F.round("score", 6)).drop("points")
 
 
 QUERIES = {"p8_found": p8_found, "p8_aligned": p8_aligned}

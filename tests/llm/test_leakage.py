@@ -4,7 +4,7 @@ import unicodedata
 import numpy as np
 import pytest
 
-from lavra.llm.leakage import leaked_passages, smith_waterman
+from lavra.llm.leakage import align, leaked_passages
 
 
 def words(s):
@@ -73,13 +73,24 @@ def test_edited_copy_scores(spark, rng):
 
 
 def test_alignment_matches_plain_dynamic_programming(rng):
+    pairs, want = [], []
     for _ in range(60):
-        a, b = ([rng.randint(0, 5) for _ in range(rng.randint(1, 25))] for _ in range(2))
+        a, b = ([2 * rng.randint(0, 5) + 1 for _ in range(rng.randint(1, 25))] for _ in range(2))
         h = np.zeros((len(a) + 1, len(b) + 1), int)
         for i, x in enumerate(a, 1):
             for j, y in enumerate(b, 1):
                 h[i, j] = max(0, h[i - 1, j - 1] + (2 if x == y else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
-        assert smith_waterman(np.array(a), np.array(b))[0] == h.max()
+        pairs.append((np.array(a, np.uint64), np.array(b, np.uint64)))
+        want.append(h.max())
+    assert align(*map(list, zip(*pairs)))[:, 0].tolist() == want
+
+
+def test_every_exact_stretch_reaches_the_points_asked_for(spark, rng):
+    docs, items = corpus(rng)
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = leaked_passages(d, i).collect()
+    assert {(r.doc_id, r.item_id) for r in got if r.points >= 24 and r.longest >= 12} == brute(docs, items)
+    assert any(r.points < 24 for r in got)
 
 
 def test_empty(spark):
