@@ -15,36 +15,20 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.functions.fold import fold
+from lavra.llm.words import END, Hashes, Splitter, portions, text_of
 from lavra.session import staged
 
-_LETTERS = regex.compile(r"\p{L}+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+_SPLITTER, _HASHES = Splitter(plain=False), Hashes()
 
-#: Bits of the phrase filter that is broadcast: 8 MB, whatever the data's size.
-FILTER_BITS = 1 << 26
-
-
-@lru_cache(maxsize=1 << 18)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
-def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(fold(text))
-
-
-def _hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(_word_hash, words), dtype=np.uint64, count=len(words))
+#: Bits of the phrase filter that is broadcast: BITS_EACH for each phrase, from 128 kB to 32 MB.
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 28
 
 
 def _gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -59,68 +43,78 @@ def _gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def count_phrase(words: list[str], joined: str, phrase: list[str]) -> int:
-    """Start positions of ``phrase`` in ``words``; ``joined`` is ' w1  w2 ' with double blanks."""
-    if len(phrase) > 1 and phrase[0] in phrase[1:]:  # may overlap itself
-        n = len(phrase)
-        return sum(words[i : i + n] == phrase for i in range(len(words) - n + 1))
-    return joined.count(" " + "  ".join(phrase) + " ")
-
-
 def _own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (id, phrase, tf, n_phrase, n_words) for phrases found in the text, and one null phrase per record."""
+    """Rows (id, phrase, n_phrase) for the folded phrases of each record."""
     for b in batches:
-        out = []
-        for i, text, phrases in zip(b["id"], b["text"], b["phrases"]):
-            words = words_of(text) if text else []
-            out.append((i, None, 0, 0, len(words)))
-            if not words or phrases is None or not len(phrases):
-                continue
-            joined = " " + "  ".join(words) + " "
-            for p in sorted({tuple(words_of(p)) for p in phrases if p}):
-                if p and (tf := count_phrase(words, joined, list(p))):
-                    out.append((i, " ".join(p), tf, len(p), len(words)))
-        yield pd.DataFrame(out, columns=["id", "phrase", "tf", "n_phrase", "n_words"])
-
-
-def _filter_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        who, entries = [], []
+        for i, phrases in zip(b["id"], b["phrases"]):
+            some = [p for p in phrases if p] if phrases is not None else []
+            who += [i] * len(some)
+            entries += some
+        out, one, at = [], [], 0
+        for _, part in portions(entries):
+            for w in _SPLITTER.split(part):
+                if w != END:
+                    one.append(text_of(w))
+                    continue
+                if one:
+                    out.append((who[at], " ".join(one), len(one)))
+                one, at = [], at + 1
+        yield pd.DataFrame(out, columns=["id", "phrase", "n_phrase"]).drop_duplicates()
+
+
+def _phrase_hash(phrase: str) -> np.uint64:
+    h = _HASHES.of(_SPLITTER.split([phrase])[:-1])
+    return _gram_hashes(h, len(h))[0]
+
+
+def _filter_words(n_bits: int):
     """The filter's 32-bit words that a partition of phrases sets."""
-    bits = [np.empty(0, np.int64)]
-    for b in batches:
-        keys = [int(_gram_hashes(_hashes(p.split(" ")), p.count(" ") + 1)[0] % np.uint64(FILTER_BITS)) for p in b["phrase"]]
-        bits.append(np.unique(np.array(keys, dtype=np.int64)))
-    at = np.unique(np.concatenate(bits))
-    yield pd.DataFrame({"word": at >> 5, "bits": np.int64(1) << (at & 31)}).groupby("word", as_index=False)["bits"].sum()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = [np.empty(0, np.int64)]
+        for b in batches:
+            bits.append(np.unique(np.array([int(_phrase_hash(p) % np.uint64(n_bits)) for p in b["phrase"]], dtype=np.int64)))
+        at = np.unique(np.concatenate(bits))
+        yield pd.DataFrame({"word": at >> 5, "bits": np.int64(1) << (at & 31)}).groupby("word", as_index=False)["bits"].sum()
+
+    return run
 
 
 def _scan(bitset, lengths: list[int]):
-    """Rows (phrase, id, tf) for every window of a text that passes the phrase filter."""
+    """Rows (phrase, id, tf) for every window of a text that passes the filter, and one of null phrase with the text's words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words32 = bitset.value
+        n_bits = np.uint64(len(words32) << 5)
         for b in batches:
-            words, ends = [], []
-            for text in b["text"]:
-                if text:
-                    words += words_of(text)
-                ends.append(len(words))
-            if not words:
-                continue
-            h, ends_a = _hashes(words), np.array(ends)
-            doc = np.repeat(np.arange(len(ends)), np.diff(ends_a, prepend=0))
-            ids = b["id"].to_numpy()
-            docs, phrases = [], []
-            for n in lengths:
-                if len(h) < n:
-                    continue
-                key = (_gram_hashes(h, n) % np.uint64(FILTER_BITS)).astype(np.int64)
-                hit = (words32[key >> 5] >> (key & 31).astype(np.uint32)) & np.uint32(1)
-                at = np.flatnonzero((hit == 1) & (doc[: len(key)] == doc[n - 1 :]))
-                docs.append(doc[at])
-                phrases += [words[i] if n == 1 else " ".join(words[i : i + n]) for i in at.tolist()]
-            found = pd.DataFrame({"d": np.concatenate(docs) if docs else [], "phrase": phrases})
-            found = found.groupby(["d", "phrase"], as_index=False, sort=False).size()
-            yield pd.DataFrame({"phrase": found["phrase"], "id": ids[found["d"].to_numpy(dtype=np.int64)], "tf": found["size"].astype(np.int64)})
+            all_ids = b["id"].to_numpy()
+            for first, texts in portions(b["text"]):
+                words = _SPLITTER.split(texts)
+                ids = all_ids[first : first + len(texts)]
+                h = _HASHES.of(words)
+                ends = np.flatnonzero(h == _HASHES[END])
+                n_words = np.diff(ends, prepend=-1) - 1
+                doc = np.repeat(np.arange(len(ends)), n_words + 1)
+                docs, grams, starts, sizes = [], [], [], []
+                for n in lengths:
+                    if len(h) < n:
+                        continue
+                    g = _gram_hashes(h, n)
+                    key = (g % n_bits).astype(np.int64)
+                    hit = (words32[key >> 5] >> (key & 31).astype(np.uint32)) & np.uint32(1)
+                    # a window that lies in one text and doesn't hold its end
+                    at = np.flatnonzero((hit == 1) & (doc[: len(key)] == doc[n - 1 :]) & (ends[doc[n - 1 :]] >= np.arange(n, len(h) + 1)))
+                    docs.append(doc[at])
+                    grams.append(g[at])
+                    starts.append(at)
+                    sizes.append(np.full(len(at), n))
+                found = pd.DataFrame({k: np.concatenate([*x, np.empty(0, t)]) for k, x, t in (("d", docs, np.int64), ("g", grams, np.uint64), ("at", starts, np.int64), ("n", sizes, np.int64))})
+                found = found.groupby(["d", "n", "g"], as_index=False, sort=False).agg(at=("at", "first"), tf=("at", "size"))
+                # words are written out once for each text and phrase
+                phrases = [text_of(words[i]) if n == 1 else " ".join(map(text_of, words[i : i + n])) for i, n in zip(found["at"].tolist(), found["n"].tolist())]
+                yield pd.DataFrame({"phrase": pd.Series(phrases, dtype=object), "id": ids[found["d"].to_numpy(dtype=np.int64)], "tf": found["tf"].astype(np.int64)})
+                yield pd.DataFrame({"phrase": pd.Series([None] * len(ids), dtype=object), "id": ids, "tf": n_words.astype(np.int64)})
 
     return run
 
@@ -146,27 +140,29 @@ def parsimonious(terms: Column, rest_tf: Column, rest_pc: Column, rounds: int, r
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
 
 
-def phrase_statistics(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(own, corpus) for records (id, text, phrases).
+def phrase_statistics(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(own, corpus, sizes) for records (id, text, phrases).
 
-    own: (id, phrase, tf, n_phrase, n_words), null phrase for the record itself.
-    corpus: (phrase, df, cf) over the texts of all records.
+    own: (id, phrase, tf, n_phrase) of the phrases found in their record's text; corpus: (phrase,
+    df, cf) over the texts of all records; sizes: (id, n_words). Each text is read once.
     """
     spark = records.sparkSession
     records = records.filter(F.col("id").isNotNull())
-    raw = records.select("id", "text", "phrases").mapInPandas(_own, "id string, phrase string, tf long, n_phrase int, n_words long")
-    own = staged(raw.groupBy("id", "phrase").agg(F.max("tf").alias("tf"), F.max("n_phrase").alias("n_phrase"), F.max("n_words").alias("n_words")), "p1-own")
-    cand = own.filter("phrase is not null").select("phrase", "n_phrase").distinct()
-    lengths = sorted(r[0] for r in cand.select("n_phrase").distinct().collect())
-    bits = cand.select("phrase").mapInPandas(_filter_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    table = np.zeros(FILTER_BITS >> 5, np.uint32)
+    cand = staged(records.filter(F.size("phrases") > 0).select("id", "phrases").mapInPandas(_own, "id string, phrase string, n_phrase int").distinct(), "p1-own")
+    phrases = staged(cand.select("phrase", "n_phrase").distinct(), "p1-phrases")
+    lengths = sorted(r[0] for r in phrases.select("n_phrase").distinct().collect())
+    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * phrases.count()).bit_length()))
+    table = np.zeros(n_bits >> 5, np.uint32)
     if lengths:
-        got = bits.toPandas()  # at most FILTER_BITS / 32 rows
+        bits = phrases.select("phrase").mapInPandas(_filter_words(n_bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        got = bits.toPandas()  # at most MOST_BITS / 32 rows
         table[got["word"].to_numpy()] = got["bits"].to_numpy().astype(np.uint32)
-    seen = records.select("id", "text").mapInPandas(_scan(spark.sparkContext.broadcast(table), lengths), "phrase string, id string, tf long")
-    per_record = seen.groupBy("phrase", "id").agg(F.max("tf").alias("tf"))
-    corpus = per_record.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    return own, corpus
+    scan = _scan(spark.sparkContext.broadcast(table), lengths)
+    seen = records.select("id", "text").mapInPandas(scan, "phrase string, id string, tf long")
+    seen = staged(seen.groupBy("phrase", "id").agg(F.max("tf").alias("tf")), "p1-seen")
+    own = cand.join(seen.filter("phrase is not null"), ["id", "phrase"])
+    corpus = seen.filter("phrase is not null").groupBy("phrase").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    return own, corpus, seen.filter("phrase is null").select("id", F.col("tf").alias("n_words"))
 
 
 def distinctive_phrases(records: DataFrame, rounds: int = 15, record_share: float = 0.1) -> DataFrame:
@@ -176,11 +172,11 @@ def distinctive_phrases(records: DataFrame, rounds: int = 15, record_share: floa
     with other records and 0 for phrases found nowhere else, so these fall behind; ties in rank
     go by phrase.
     """
-    own, corpus = phrase_statistics(records)
-    size = own.filter("phrase is null").agg(F.greatest(F.sum("n_words"), F.lit(1)).cast("double").alias("w"))
-    t = own.filter("phrase is not null").join(corpus, "phrase").crossJoin(F.broadcast(size))  # one row
+    own, corpus, sizes = phrase_statistics(records)
+    size = sizes.agg(F.greatest(F.sum("n_words"), F.lit(1)).cast("double").alias("w"))
+    t = own.join(corpus, "phrase").crossJoin(F.broadcast(size))  # one row
     t = t.withColumn("pc", F.col("cf") / F.col("w"))
-    g = t.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("phrase", "tf", "df", "cf", "pc", "n_phrase"))).alias("t"), F.max("n_words").alias("n_words"))
+    g = t.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("phrase", "tf", "df", "cf", "pc", "n_phrase"))).alias("t")).join(sizes, "id")
     covered = F.aggregate("t", F.lit(0), lambda a, x: a + (x["tf"] * x["n_phrase"]).cast("int"))
     rest_tf = F.greatest(F.col("n_words") - covered, F.lit(0)).cast("double")
     rest_pc = F.greatest(1 - F.aggregate("t", F.lit(0.0), lambda a, x: a + x["pc"]), F.lit(0.0))
