@@ -25,6 +25,26 @@ SENTENCE_GAP = r"(?<=[.!?:;])\s+"
 IMAGE = r"\[Imagem:[^\]]*\]"
 MARKER = r"\[(?:Imagem|Código):[^\]]*\]"
 CODE_MARKER = r"\[Código: ([^\]]*)\]"
+IMAGE_REFERENCE = r"\[Imagem: ([^\]]*)\]"
+CONTENTS_LINE = r"^.*\.{5,}.*$"
+TITLE_END = r"\s\d{1,2}\.\d{1,2}[.)]\s|\n"
+TITLE_NUMBER = r"^\d{1,2}\s?[.)=]\s*"
+FILE_ENDING = r"(?i)\.(?:pdf|docx)$"
+MAIL_MARK = r"^E-mail —(?: Assunto:)?"
+MAIL_STARTS = ("De:", "E-mail —")
+NO_SUBSTANCE = r"\W"
+CAPTION_TAIL = r"(?:\A|(?<=\n\n))(?:(?!\n\n)[^\[\]]){0,1499}\]"
+CAPTION_LINE = r"(?m)^(?:(?!\n\n)[.\s])*(?:\d\.\s*)?(?:A imagem|Nenhum código)\b.*$"
+
+# What the last step of cleaning replaces, in this order: page filler, markers on lines
+# of their own, images named twice in a row, blank lines.
+TIDY = (
+    (r"(?im)^[ \t]*z{8,}[^\n]*?(?=\S|$)", ""),
+    (r"\s*\n\s*(\[Código: [^\]]*\])", r" \1"),
+    (r"(\[Imagem: [^\]]*\])(\s*\1)+", r"\1"),
+    (r"\s*\n\s*(\[Imagem: [^\]]*\])", r" \1"),
+    (r"\n{3,}", "\n\n"),
+)
 
 # Patterns of e-mail noise.
 MAIL_FIELDS = "De|From|Enviada em|Enviado em|Enviado el|Enviado|Sent|Date|Data|Para|To|Cc|CC|Cco|Bcc|Importância|Importance|Assunto|Subject|Asunto"
@@ -44,6 +64,11 @@ MAIL_CLOSING = (
 )
 MAIL_PHONE = r"^[ \t]*(?:Tel|Fone|Telefone|Cel|Celular|Phone|Whats(?:app)?)\.?[ \t]*:?[ \t]*[+()\d][\d ()+.-]{6,}.*$"
 MAIL_SITE = r"^[ \t]*(?:www\.\S+|\S+@\S+\.\S+)[ \t]*$"
+# What is replaced in e-mails once their headers are, in this order.
+MAIL_NOISE = (
+    ("(?m)" + MAIL_HEADER_BARE, "E-mail —\n"), (MAIL_LINK, ""), ("(?im)" + MAIL_FORWARD, ""), ("(?im)" + MAIL_QUOTE_INTRO, ""),
+    ("(?im)" + MAIL_GREETING, ""), ("(?im)" + MAIL_CLOSING, "\n"), ("(?im)" + MAIL_PHONE, ""), ("(?m)" + MAIL_SITE, ""),
+)
 
 # Patterns of SQL and PL/SQL lines.
 SQL_START = (
@@ -60,6 +85,10 @@ SQL_GO_ON = (
 SQL_TABLE = r"\b(?:FROM|JOIN|INTO|UPDATE|TABLE)\s+([A-Za-z_][\w$#]*(?:\.[A-Za-z_][\w$#]*)?)"
 SQL_ATTRIBUTE = r"%(?:ROWTYPE|TYPE|NOTFOUND|FOUND)\b"
 SQL_SELECT_WORD = r"\s*(SELECT\b)(?!\s+(?:de|do|da|deste|desta|para|que|com)\b)"
+SQL_ASSIGNMENT = r":="
+SQL_STATEMENT_END = r"[=():].*;$"
+WORDS_IN_A_ROW = r"[a-zà-ú]{4,} [a-zà-ú]{4,} [a-zà-ú]{4,}"
+LEAST_LETTERS = 0.55
 SQL_NOT_TABLES = ("select", "set", "where", "dual", "values", "the", "exists", "table", "c_dados")
 
 # Stop words of key phrases and words that every procedure has.
