@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm.density import density_clusters, describe_clusters, isolated_clusters, neighbour_graph, spanning_forest
+from lavra.llm.density import density_clusters, describe_clusters, isolated_clusters
 from lavra.llm.neighbours import valid_vectors
 from lavra.session import staged, table
 
@@ -22,11 +22,10 @@ def p3_found(spark, d):
 
 
 def members_of(numbered):
-    """(id, cluster_key) of vectors (num, id, vec)."""
-    forest = spanning_forest(neighbour_graph(numbered.select("num", "vec"), LEAST, 5))
-    tree = forest.select(F.explode(F.array("x", "y")).alias("num"), "tree").distinct()
-    # joined by shuffle at every size: both sides grow with the data
-    placed = staged(numbered.join(tree.hint("shuffle_merge"), "num", "left").select("num", F.coalesce("tree", "num").alias("cluster"), "vec"), "p3-placed")
+    """(id, cluster_key) of vectors (num, id, vec): clusters selected by stability, joined where they are linked, and checked."""
+    chosen, _ = density_clusters(numbered, LEAST, epsilon=0.0)
+    # joined by shuffle at every size: both sides grow with the data; the exact check of every set follows
+    placed = staged(numbered.join(chosen.hint("shuffle_merge"), "num", "left").select("num", F.coalesce("cluster", "num").alias("cluster"), "vec"), "p3-placed")
     m = staged(isolated_clusters(placed, LEAST).join(numbered.select("num", "id"), "num"), "p3-found")
     key = m.groupBy("cluster").agg(F.min("id").alias("cluster_key"))
     return m.join(key, "cluster").select("id", "cluster_key")
