@@ -9,17 +9,22 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.functions import patterns as P
+from lavra.session import staged
 
 #: Query vectors that are broadcast to be compared with all rows, at most; more go block by block.
 QUERY_BLOCK = 4096
+#: Times that the weights are multiplied with the axes of a decomposition.
+SVD_ROUNDS = 6
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -174,12 +179,17 @@ def embed(texts: DataFrame, make_encoder: Callable[[], Callable[[list[str]], np.
     return one.repartitionByRange(F.length("text")).mapInPandas(run, "hash string, vec array<float>")
 
 
-def reuse_vectors(chunks: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reuse_vectors(chunks: DataFrame, stored: DataFrame, settings: dict[str, str | int] | None = None) -> tuple[DataFrame, DataFrame]:
     """(reused, todo): chunks (chunk_id, hash, text) with the stored vector of their hash, and those without.
 
-    Stored vectors count when hash, vector and model are there; equal hashes give one vector.
+    Stored vectors count when hash and vector are there and they were made with the same
+    ``settings``: columns such as model, file, text mode, pooling and length. Equal hashes give one
+    vector; a null hash is no hash.
     """
-    known = stored.filter("hash is not null and vec is not null").groupBy("hash").agg(F.min("vec").alias("vec"))
+    known = stored.filter("hash is not null and vec is not null")
+    for name, value in (settings or {}).items():
+        known = known.filter(F.col(name) == F.lit(value))
+    known = known.groupBy("hash").agg(F.min("vec").alias("vec"))
     return chunks.join(known, "hash").select("chunk_id", "hash", "vec"), chunks.join(known, "hash", "left_anti")
 
 
@@ -188,8 +198,7 @@ def tfidf(texts: DataFrame, min_df: int = 3, max_share: float = 0.4, features: i
 
     Sublinear term counts and smooth document frequency; the most frequent ``features`` terms.
     """
-    stop = F.array(*[F.lit(w) for w in sorted(set(P.CLUSTER_STOP.split()))])
-    words = F.filter(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"), F.lit(0)), lambda w: ~F.array_contains(stop, w))
+    words = F.filter(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"), F.lit(0)), lambda w: ~w.isin(*sorted(set(P.CLUSTER_STOP.split()))))
     pairs = F.when(F.size(words) > 1, F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)))
     grams = F.concat(words, F.coalesce(pairs, F.array().cast("array<string>")))
     tf = texts.select("id", F.explode(grams).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("n"))
@@ -202,45 +211,100 @@ def tfidf(texts: DataFrame, min_df: int = 3, max_share: float = 0.4, features: i
     return g.withColumn("l", length).select("id", F.transform("t", lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("l")).alias("weight"))).alias("terms"))
 
 
-def principal_components(vectors: DataFrame, parts: int, sample: int = 20_000) -> tuple[np.ndarray, DataFrame]:
-    """(axes, (id, xy)): projection of (id, vec) on its principal axes, which a bounded sample fits.
+def principal_components(vectors: DataFrame, parts: int) -> tuple[np.ndarray, DataFrame]:
+    """(axes, (id, xy)): projection of (id, vec) on the principal axes of all rows.
 
-    It stands in for the map projections that need a neighbour-embedding library.
+    Mean and covariance are sums over all rows, one partial sum a partition. It stands in for the
+    map projections that need a neighbour-embedding library. Null vectors are left out.
     """
-    rows = vectors.filter("vec is not null").orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").collect()  # at most ``sample``
-    v = np.array([r[0] for r in rows], dtype=np.float64)
-    mean = v.mean(0) if len(v) else np.zeros(1)
-    _, _, axes = np.linalg.svd(v - mean, full_matrices=False) if len(v) else (None, None, np.zeros((parts, 1)))
-    axes = axes[:parts]
+    v = vectors.filter("vec is not null")
+    dims = v.select(F.max(F.size("vec"))).first()[0] or 0
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, square, n = np.zeros(dims), np.zeros((dims, dims)), 0
+        for b in batches:
+            m = np.asarray(b.column(0).flatten(), dtype=np.float64).reshape(b.num_rows, dims)
+            total, square, n = total + m.sum(0), square + m.T @ m, n + len(m)
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([[*total, *square.ravel()]], pa.list_(pa.float64()))], ["n", "s"])
+
+    n, total = 0, np.zeros(dims + dims * dims)
+    for r in v.select("vec").mapInArrow(sums, "n long, s array<double>").toLocalIterator():  # one row a partition, dims x dims numbers
+        n, total = n + r["n"], total + np.array(r["s"])
+    if not n:
+        return np.zeros((parts, 1)), v.select("id", F.array().cast("array<double>").alias("xy"))
+    mean = total[:dims] / n
+    size, axes = np.linalg.eigh(total[dims:].reshape(dims, dims) / n - np.outer(mean, mean))
+    axes = axes[:, np.argsort(-size, kind="stable")[:parts]].T
     axes = axes * np.where(axes[np.arange(len(axes)), np.abs(axes).argmax(1)] < 0, -1, 1)[:, None]  # signs made definite
     cols = [dot(F.col("vec"), F.array(*[F.lit(float(x)) for x in a])) - float(mean @ a) for a in axes]
-    return axes, vectors.filter("vec is not null").select("id", F.array(*cols).alias("xy"))
+    return axes, v.select("id", F.array(*cols).alias("xy"))
 
 
 def tfidf_vectors(texts: DataFrame, dims: int = 256, **options) -> DataFrame:
     """(id, vec): unit vectors of the TF-IDF weights' singular value decomposition.
 
-    The decomposition runs over the cluster; only ``features`` x ``dims`` numbers come to the driver.
+    The axes are found by subspace iteration: the weights, staged once, are multiplied with ``dims``
+    axes over the cluster, and only ``features`` x ``dims`` numbers come to the driver each time.
     """
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    weights = tfidf(texts, **options).cache()
-    spark = texts.sparkSession
-    names = weights.select(F.explode("terms").alias("t")).select("t.term").distinct().orderBy("term").withColumn("at", F.row_number().over(W.orderBy("term")) - 1)
-    placed = weights.select("id", F.explode("terms").alias("t")).select("id", "t.term", "t.weight").join(names, "term").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "weight"))).alias("x"))
-    size = names.count()
-    if not size:
-        return spark.createDataFrame([], f"id {texts.schema['id'].dataType.simpleString()}, vec array<double>")
-    rows = placed.rdd.map(lambda r: Vectors.sparse(size, [(x["at"], x["weight"]) for x in r["x"]]))
-    v = RowMatrix(rows, numCols=size).computeSVD(min(dims, size, placed.count())).V.toArray()
-    shared = spark.sparkContext.broadcast(v)  # at most features x dims numbers
-
-    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        axes = shared.value
+    kind = texts.schema["id"].dataType.simpleString()
+    weights = staged(tfidf(texts, **options), "tfidf")
+    names = [r[0] for r in weights.select(F.explode("terms").alias("t")).select("t.term").distinct().orderBy("term").collect()]  # at most ``features``
+    n, spark = len(names), texts.sparkSession
+    if not n:
+        return spark.createDataFrame([], f"id {kind}, vec array<double>")
+    at = spark.sparkContext.broadcast({t: i for i, t in enumerate(names)})
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Rows]]:
         for b in batches:
-            vec = np.array([axes[[y["at"] for y in x]].T @ np.array([y["weight"] for y in x]) for x in b["x"]]).reshape(len(b), -1)
-            vec /= np.linalg.norm(vec, axis=1, keepdims=True) + 1e-12
-            yield pd.DataFrame({"id": b["id"], "vec": list(vec)})
-
-    return placed.mapInPandas(project, f"id {texts.schema['id'].dataType.simpleString()}, vec array<double>")
+            if b.num_rows:
+                terms = b.column("terms")
+                flat = terms.flatten()
+                place = np.fromiter(map(at.value.__getitem__, flat.field("term").to_pylist()), np.int64, len(flat))
+                yield b, Rows(np.asarray(terms.value_lengths()), place, np.asarray(flat.field("weight")))
+
+    axes = np.linalg.qr(np.random.default_rng(7).standard_normal((n, min(dims, n))))[0]
+    for _ in range(SVD_ROUNDS):
+        shared = spark.sparkContext.broadcast(axes)
+
+        def gram(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            total = np.zeros_like(shared.value)
+            for _, r in rows(batches):
+                r.add_back(r.times(shared.value), total)
+            used = np.flatnonzero(total.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(list(total[used]), pa.list_(pa.float64()))], ["at", "sums"])
+
+        parts = weights.select("terms").mapInArrow(gram, "at long, sums array<double>")
+        done = np.zeros_like(axes)
+        for r in parts.groupBy("at").agg(F.collect_list("sums").alias("s")).select("at", F.aggregate("s", F.array_repeat(F.lit(0.0), axes.shape[1]), lambda a, x: F.zip_with(a, x, lambda p, q: p + q)).alias("s")).toLocalIterator():
+            done[r["at"]] = r["s"]
+        # the axes by size: the QR of the product turns them towards the largest singular values
+        q, upper = np.linalg.qr(done)
+        axes = q @ np.linalg.svd(upper)[0]
+        shared.destroy()
+    final = spark.sparkContext.broadcast(axes)  # at most features x dims numbers
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, r in rows(batches):
+            v = r.times(final.value)
+            v /= np.linalg.norm(v, axis=1, keepdims=True) + 1e-12
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(list(v), pa.list_(pa.float64()))], ["id", "vec"])
+
+    return weights.mapInArrow(project, f"id {kind}, vec array<double>")
+
+
+class Rows:
+    """Sparse rows: how many entries each has, their columns and values, one after another."""
+
+    def __init__(self, sizes: np.ndarray, column: np.ndarray, value: np.ndarray):
+        self.first = np.concatenate(([0], np.cumsum(sizes)))
+        self.column, self.value = column, value
+
+    def times(self, axes: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.first) - 1, axes.shape[1]))
+        for i, (a, b) in enumerate(pairwise(self.first)):
+            out[i] = self.value[a:b] @ axes[self.column[a:b]]
+        return out
+
+    def add_back(self, y: np.ndarray, total: np.ndarray) -> None:
+        for i, (a, b) in enumerate(pairwise(self.first)):
+            total[self.column[a:b]] += self.value[a:b, None] * y[i]  # a row names each column once

@@ -96,8 +96,9 @@ def _impact(hops):
 
 
 def impact_top(spark, d):
+    """The 15 best candidates with their strongest path."""
     r = graph.find_impact_candidates(*_graph(spark, d), _changed(spark, d))
-    return r.select("node", F.round("score", 6).alias("score"), "hops", F.to_json("paths").alias("paths"))
+    return r.select("node", F.round("score", 6).alias("score"), "hops", F.size("paths").alias("paths"), F.array_join(F.get("paths", F.lit(0))["path"], " > ").alias("strongest"))
 
 
 def impact_explained(spark, d):
@@ -105,10 +106,15 @@ def impact_explained(spark, d):
     run, node, edge = _graph(spark, d)
     ranked = graph.find_impact_candidates(run, node, edge, _changed(spark, d))
     c = _chunks(spark, d)
-    mention = c.select("chunk_id", F.explode(assoc.split_codes(F.col("main_programs"))).alias("to_node"))
-    ev = edge.select("edge_id", "to_node").distinct().join(mention, "to_node").groupBy("edge_id").agg(F.slice(F.array_sort(F.collect_set("chunk_id")), 1, 3).alias("ids"))
-    ev = ev.select("edge_id", F.posexplode("ids").alias("rank", "chunk_id"))
-    return graph.explain(ranked, node, ev, c).select("node", "node_type", "name", "module", F.round("score", 6).alias("score"), F.size("evidence").alias("examples"))
+    latest = graph.of_version(node, graph.latest_version(run))
+    return graph.explain(ranked, latest, _mentions(edge, c), c).select("node", "node_type", "name", "module", F.round("score", 6).alias("score"), F.coalesce(F.size("evidence"), F.lit(0)).alias("examples"))
+
+
+def _mentions(edge, chunks):
+    """(edge_id, rank, chunk_id): the first three chunks whose main programs name the edge's target."""
+    mention = chunks.select("chunk_id", F.explode(assoc.split_codes(F.col("main_programs"))).alias("to_node"))
+    ids = mention.groupBy("to_node").agg(F.slice(F.array_sort(F.collect_set("chunk_id")), 1, 3).alias("ids"))
+    return edge.select("edge_id", "to_node").distinct().join(ids, "to_node").select("edge_id", F.posexplode("ids").alias("rank", "chunk_id"))
 
 
 def recommend_confidence(spark, d):
@@ -122,8 +128,20 @@ def graph_overview(spark, d):
 
 
 def edge_full(spark, d):
-    e = graph.edge_full(table(spark, d, "edge").dropDuplicates(["version", "from_node", "to_node"]), table(spark, d, "node"))
-    return e.select("version", "from_node", "to_node", "from_name", "to_name", "to_module")
+    """Edges with names, module and their examples in order."""
+    edge = table(spark, d, "edge")
+    one = edge.groupBy("version", "from_node", "to_node").agg(F.min("edge_id").alias("edge_id"))
+    e = graph.edge_full(one, table(spark, d, "node"), _mentions(edge, _chunks(spark, d)))
+    return e.select("version", "from_node", "to_node", "from_name", "to_name", "to_module", "evidence")
+
+
+def referenced_chunks(spark, d):
+    c = _chunks(spark, d)
+    return graph.referenced_chunks(c, _mentions(table(spark, d, "edge"), c)).select("chunk_id")
+
+
+def run_listing(spark, d):
+    return graph.run_listing(table(spark, d, "run")).select("version", "baskets", "rules")
 
 
 def names_from_chunk_titles(spark, d):
@@ -150,6 +168,13 @@ h2 AS (SELECT * FROM (SELECT h1.src, w.to_node AS node, h1.s * w.weight * 0.5 AS
        FROM h1 JOIN w ON w.from_node = h1.node WHERE h1.node NOT LIKE '#%' AND NOT list_contains(h1.path, w.to_node)) WHERE k = 1),
 a AS (SELECT src, node, s, path, cm, 1 AS hops FROM h1 UNION ALL SELECT src, node, s, path, cm, 2 FROM h2),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, node ORDER BY s DESC, hops, path) AS b FROM a) WHERE b = 1)"""
+_THREE = _TWO[: _TWO.index("a AS (SELECT src")] + """h3 AS (SELECT * FROM (SELECT h2.src, w.to_node AS node, h2.s * w.weight * 0.5 AS s, list_append(h2.path, w.to_node) AS path, greatest(h2.cm, w.cross_module) AS cm,
+       row_number() OVER (PARTITION BY h2.src, w.to_node ORDER BY h2.s * w.weight * 0.5 DESC, list_append(h2.path, w.to_node)) AS k
+       FROM h2 JOIN w ON w.from_node = h2.node WHERE h2.node NOT LIKE '#%' AND NOT list_contains(h2.path, w.to_node)) WHERE k = 1),
+a AS (SELECT src, node, s, path, cm, 1 AS hops FROM h1 UNION ALL SELECT src, node, s, path, cm, 2 FROM h2 UNION ALL SELECT src, node, s, path, cm, 3 FROM h3),
+""" + _TWO[_TWO.index("best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, node"):]
+_EXAMPLES = """WITH mention AS (SELECT DISTINCT chunk_id, unnest(list_filter(regexp_split_to_array(coalesce(main_programs, ''), '\\s+'), lambda x: x <> '')) AS to_node FROM chunks_titled WHERE chunk_id IS NOT NULL),
+ids AS (SELECT to_node, (list(chunk_id ORDER BY chunk_id))[1:3] AS ids FROM mention GROUP BY 1)"""
 _RANK = """ SELECT node, round(1 - product(1 - s), 6) AS score, min(hops) AS hops, max(cm) AS cross_module FROM best WHERE node NOT IN (SELECT item FROM known)
 GROUP BY node HAVING 1 - product(1 - s) >= 0.02 ORDER BY 1 - product(1 - s) DESC, node LIMIT 1000"""
 
@@ -157,7 +182,7 @@ QUERIES = {
     "chunk_rules": chunk_rules, "chunk_rules_topic": lambda s, d: chunk_rules(s, d, "topic"), "chunk_rule_evidence": chunk_rule_evidence, "assoc_dedup_fingerprint": assoc_dedup_fingerprint,
     "assoc_kind_thresholds": assoc_kind_thresholds, "assoc_related_terms": assoc_related_terms, "graph_latest": graph_latest, "graph_inputs": graph_inputs, "graph_edges": graph_edges,
     "impact_1hop": _impact(1), "impact_2hop": _impact(2), "impact_3hop": _impact(3), "impact_top": impact_top, "impact_explained": impact_explained, "recommend_confidence": recommend_confidence,
-    "graph_overview": graph_overview, "edge_full": edge_full, "names_from_titles": names_from_chunk_titles,
+    "graph_overview": graph_overview, "edge_full": edge_full, "referenced_chunks": referenced_chunks, "run_listing": run_listing, "names_from_titles": names_from_chunk_titles,
 }
 _KT = """WITH occ AS (SELECT DISTINCT l_orderkey AS b, o_custkey AS doc, unnest([p_brand, '#' || p_type]) AS item FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
 n AS (SELECT count(DISTINCT b) AS n FROM occ), ic AS (SELECT item, count(*) AS c FROM occ GROUP BY item),
@@ -167,6 +192,12 @@ m AS (SELECT f, g, t, t / x.c AS conf, (t / x.c) / (y.c / n.n) AS lift FROM dir
 SELECT f AS from_item, g AS to_item, CASE WHEN f LIKE '#%' THEN 'term' ELSE 'program' END || '->' || CASE WHEN g LIKE '#%' THEN 'term' ELSE 'program' END AS kind,
 CASE WHEN f LIKE '#%' OR g LIKE '#%' THEN 0 ELSE (regexp_extract(f, '^[A-Z]+') <> regexp_extract(g, '^[A-Z]+'))::INT END AS cross_module, t AS together, round(lift, 6) AS lift
 FROM m WHERE CASE WHEN f LIKE '#%' AND g NOT LIKE '#%' THEN conf >= 0.03 AND lift >= 1.03 ELSE conf >= 0.05 AND lift >= 1.01 END"""
+_RELATED = """WITH occ AS (SELECT DISTINCT l_orderkey AS b, unnest([p_brand, '#' || p_type]) AS item FROM lineitem JOIN part ON l_partkey = p_partkey),
+n AS (SELECT count(DISTINCT b) AS n FROM occ), ic AS (SELECT item, count(*) AS c FROM occ GROUP BY item),
+pc AS (SELECT x.item AS f, y.item AS g, count(*) AS t FROM occ x JOIN occ y ON x.b = y.b AND x.item NOT LIKE '#%' AND y.item LIKE '#%' GROUP BY 1, 2),
+m AS (SELECT f, g, t / x.c AS conf, (t / x.c) / (y.c / n.n) AS lift FROM pc JOIN ic x ON x.item = f JOIN ic y ON y.item = g, n WHERE t >= 3),
+r AS (SELECT f, g, row_number() OVER (PARTITION BY f ORDER BY conf * log2(1 + least(round(lift, 2), 50)) DESC, g) AS k FROM m WHERE conf >= 0.05 AND lift >= 0.5)
+SELECT f AS item, string_agg(substr(g, 2), ', ' ORDER BY k) AS related_terms FROM r WHERE k <= 6 GROUP BY f"""
 _ITEMS = """c AS (SELECT chunk_id, any_value(doc_id) AS doc_id, any_value(record) AS record, any_value(position) AS position, any_value(topic_id) AS topic_id, any_value(topic_number) AS topic_number,
   any_value(text) AS text, any_value(main_programs) AS mp, any_value(mentioned_programs) AS xp, any_value(messages) AS ms FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),
 i0 AS (SELECT *, list_sort(list_distinct(list_concat(list_filter(regexp_split_to_array(coalesce(xp, '') || ' ' || coalesce(mp, ''), '\\s+'), lambda x: x <> ''),
@@ -209,9 +240,17 @@ ORACLES = {
     "recommend_confidence": "WITH " + _V + ", e AS (SELECT from_node, to_node, max(confidence) AS c FROM ed WHERE documents >= 2 AND lift >= 2 AND from_node IN (SELECT item FROM norm) AND to_node NOT IN (SELECT item FROM norm) GROUP BY 1, 2)"
     " SELECT to_node AS node, round(1 - product(1 - c), 6) AS score FROM e GROUP BY 1",
     "graph_overview": "SELECT version, from_node, to_node, max(score) AS score FROM edge WHERE documents >= 2 AND lift >= 2 GROUP BY ALL ORDER BY score DESC, version, from_node, to_node LIMIT 60",
-    "edge_full": "SELECT DISTINCT e.version, e.from_node, e.to_node, f.name AS from_name, t.name AS to_name, t.module AS to_module FROM (SELECT DISTINCT version, from_node, to_node FROM edge) e"
+    "edge_full": _EXAMPLES + " SELECT e.version, e.from_node, e.to_node, f.name AS from_name, t.name AS to_name, t.module AS to_module, array_to_string(ids, ' ') AS evidence FROM (SELECT DISTINCT version, from_node, to_node FROM edge) e"
     " LEFT JOIN (SELECT version, node_id, min(name) AS name FROM node GROUP BY 1, 2) f ON f.version = e.version AND f.node_id = e.from_node"
-    " LEFT JOIN (SELECT version, node_id, min(name) AS name, min(module) AS module FROM node GROUP BY 1, 2) t ON t.version = e.version AND t.node_id = e.to_node",
+    " LEFT JOIN (SELECT version, node_id, min(name) AS name, min(module) AS module FROM node GROUP BY 1, 2) t ON t.version = e.version AND t.node_id = e.to_node LEFT JOIN ids ON ids.to_node = e.to_node",
+    "referenced_chunks": _EXAMPLES + " SELECT DISTINCT unnest(ids) AS chunk_id FROM ids WHERE to_node IN (SELECT to_node FROM edge)",
+    "run_listing": "SELECT version, baskets, rules FROM run",
+    "impact_3hop": _THREE + _RANK,
+    "impact_top": _TWO + ", z AS (SELECT * FROM best WHERE node NOT IN (SELECT item FROM known) AND node NOT LIKE '#%') SELECT node, round(1 - product(1 - s), 6) AS score, min(hops) AS hops, count(*) AS paths,"
+    " array_to_string(first(path ORDER BY round(s, 4) DESC, src, path), ' > ') AS strongest FROM z GROUP BY node HAVING 1 - product(1 - s) >= 0.02 ORDER BY 1 - product(1 - s) DESC, node LIMIT 15",
+    "impact_explained": _TWO + ", z AS (SELECT * FROM best WHERE node NOT IN (SELECT item FROM known) AND node NOT LIKE '#%'), r AS (SELECT node, 1 - product(1 - s) AS s FROM z GROUP BY node HAVING 1 - product(1 - s) >= 0.02 ORDER BY s DESC, node LIMIT 15),"
+    + _EXAMPLES[len("WITH "):] + " SELECT r.node, node_type, name, module, round(s, 6) AS score, least(coalesce(len(ids), 0), 2) AS examples FROM r LEFT JOIN (SELECT DISTINCT node_id, node_type, name, module FROM nd) n ON n.node_id = r.node LEFT JOIN ids ON ids.to_node = r.node",
+    "assoc_related_terms": _RELATED,
     "names_from_titles": "WITH c AS (SELECT chunk_id, any_value(doc_id) AS d, any_value(position) AS p, any_value(topic_title) || ' (' || regexp_extract(any_value(main_programs), '[A-Z]{3,5}[0-9]{1,4}') || ') — ' || any_value(title) AS title FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
     " x AS (SELECT d, p, i, trim(string_split(split_part(coalesce(title, ''), ' — ', 1), ' + ')[i]) AS part FROM c, unnest(range(1, len(string_split(split_part(coalesce(title, ''), ' — ', 1), ' + ')) + 1)) AS u(i)),"
     " h AS (SELECT d, p, i, regexp_extract(part, '^(.*) \\(([A-Z]{3,5}\\d{1,4})\\)$', 2) AS code, regexp_extract(part, '^(.*) \\(([A-Z]{3,5}\\d{1,4})\\)$', 1) AS name FROM x)"

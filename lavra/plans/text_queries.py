@@ -58,7 +58,7 @@ def _tracked(spark, d):
 
 
 def copy_pairs(spark, d):
-    return copies.copy_candidates(_docs(spark, d).withColumn("name", F.lit("")))
+    return copies.copy_candidates(_tracked(spark, d).withColumnRenamed("doc_name", "name"))
 
 
 def copy_best(spark, d):
@@ -83,8 +83,15 @@ def chunk_documents(spark, d):
 
 
 def chunk_topics(spark, d):
-    """Topics with chunks, and their chain within each record."""
-    return chunking.topic_rollup(chunking.topics_of(_tracked(spark, d)), chunking.chunk_documents(_tracked(spark, d))).drop("text")
+    """Topics that have chunks, linked past those that have none: every fifth topic is taken for one without."""
+    c = _chunks(spark, d).filter("topic_id is not null")
+    t = c.groupBy("topic_id").agg(F.min("doc_id").alias("doc_id"), F.min("previous_topic_id").alias("previous_topic_id"))
+    held = c.filter(chunking.topic_order() % 5 != 4).select("topic_id")
+    return chunking.topic_rollup(t, held).select("topic_id", "previous_topic_id", "n_chunks")
+
+
+def chunk_types(spark, d):
+    return chunking.chunk_types(_chunks(spark, d))
 
 
 def chunk_stats(spark, d):
@@ -109,9 +116,10 @@ _COPIES = _SHINGLES + """,
 z AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
 r AS (SELECT s.* FROM s JOIN df USING (s) WHERE df BETWEEN 2 AND 20),
 o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM r x JOIN r y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
-p AS (SELECT CASE WHEN (za.size, a) < (zb.size, b) THEN a ELSE b END AS dropped, CASE WHEN (za.size, a) < (zb.size, b) THEN b ELSE a END AS kept, n,
-      least(za.size, zb.size) AS s, greatest(za.size, zb.size) AS l FROM o JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b),
-cand AS (SELECT dropped, kept, n FROM p WHERE s >= 30 AND n / s >= 0.6 AND s / l >= 0.7),
+nm AS (SELECT doc_id, coalesce(doc_name, '') AS name, list_sort(list_distinct(list_filter(regexp_extract_all(coalesce(doc_name, ''), '\\b[A-Z]{3,5}[0-9]{1,4}\\b'), lambda c: regexp_full_match(c, '(' || '""" + _MODULES + """' || ')[0-9]+')))) AS codes FROM documents),
+p AS (SELECT CASE WHEN (za.size, na.name, a) < (zb.size, nb.name, b) THEN a ELSE b END AS dropped, CASE WHEN (za.size, na.name, a) < (zb.size, nb.name, b) THEN b ELSE a END AS kept, n,
+      least(za.size, zb.size) AS s, greatest(za.size, zb.size) AS l, na.codes AS ca, nb.codes AS cb FROM o JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b JOIN nm na ON na.doc_id = a JOIN nm nb ON nb.doc_id = b),
+cand AS (SELECT dropped, kept, n FROM p WHERE s >= 30 AND n / s >= 0.6 AND s / l >= 0.7 AND NOT (len(ca) > 0 AND len(cb) > 0 AND ca <> cb)),
 best AS (SELECT dropped, kept FROM (SELECT *, row_number() OVER (PARTITION BY dropped ORDER BY n DESC, kept) AS k FROM cand) WHERE k = 1),
 chain AS (SELECT dropped, kept FROM best UNION ALL SELECT c.dropped, b.kept FROM chain c JOIN best b ON b.dropped = c.kept),
 final AS (SELECT * FROM chain c WHERE kept NOT IN (SELECT dropped FROM best))"""
@@ -135,7 +143,7 @@ QUERIES = {
     "chunk_code_tables": _chunk_text(tables=lambda: F.array_join(text.code_tables(F.col("text")), " ")),
     "clean_label": labels, "term_items": term_items, "line_classes": line_classes, "cleaned_documents": cleaned_documents,
     "shingle_df": shingle_df, "copy_pairs": copy_pairs, "copy_best": copy_best, "copy_resolved": copy_resolved, "documents_without_copies": documents_without_copies,
-    "chunk_documents": chunk_documents, "chunk_topics": chunk_topics, "chunk_stats": chunk_stats,
+    "chunk_documents": chunk_documents, "chunk_topics": chunk_topics, "chunk_stats": chunk_stats, "chunk_types": chunk_types,
 }
 _SQUEEZED = f"btrim_(regexp_replace(text, '{_B}+', ' ', 'g'))".replace("btrim_(", "trim(").replace("'g'))", "'g'), ' .:-–')")
 ORACLES = {
@@ -160,6 +168,12 @@ ORACLES = {
     "copy_best": f"WITH {_COPIES.split(',' + chr(10) + 'chain')[0]} SELECT * FROM best",
     "copy_resolved": f"WITH RECURSIVE {_COPIES} SELECT dropped, kept FROM final",
     "documents_without_copies": f"WITH {_COPIES.split(',' + chr(10) + 'chain')[0]} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT dropped FROM best)",
+    "chunk_types": "WITH c AS (SELECT chunk_id, any_value(record_type) AS record_type, any_value(topic_number) AS topic_number, any_value(topic_id) AS topic_id FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
+    " e AS (SELECT record_type, CASE WHEN topic_number <> '' THEN topic_id END AS t, count(*) AS n FROM c GROUP BY 1, 2) SELECT record_type, sum(n)::BIGINT AS chunks, count(t) AS topics, count(*) FILTER (t IS NOT NULL AND n = 1) AS whole FROM e GROUP BY 1",
+    "chunk_topics": "WITH c AS (SELECT chunk_id, any_value(topic_id) AS topic_id, any_value(doc_id) AS doc_id, any_value(previous_topic_id) AS p FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
+    " t AS (SELECT topic_id, min(doc_id) AS doc_id, min(p) AS p, regexp_extract(topic_id, '(\\d+)$', 1)::INT AS o, count(*) AS n FROM c WHERE topic_id IS NOT NULL GROUP BY 1),"
+    " ch AS (SELECT *, sum((p IS NULL)::INT) OVER (PARTITION BY doc_id ORDER BY o) AS chain FROM t)"
+    " SELECT x.topic_id, (SELECT max_by(y.topic_id, y.o) FROM ch y WHERE y.doc_id = x.doc_id AND y.chain = x.chain AND y.o < x.o AND y.o % 5 <> 4) AS previous_topic_id, x.n AS n_chunks FROM ch x WHERE x.o % 5 <> 4",
     "chunk_stats": f"WITH {_C}, n AS (SELECT split_part(chunk_id, '-', 1) AS d, coalesce(length(text), 0) AS n FROM c)"
     " SELECT count(DISTINCT d) AS documents, count(*) AS chunks, median(n) AS median, max(n) AS longest, count(*) FILTER (n < 400) AS short,"
     " (SELECT n FROM (SELECT n, row_number() OVER (ORDER BY n) AS k FROM n) WHERE k = (SELECT floor(count(*) * 0.95) + 1 FROM n)) AS p95 FROM n",

@@ -59,6 +59,20 @@ def cluster_links(spark, d):
     return links.cluster_links(_links(spark, d), _embeddings(spark, d))
 
 
+def strongest_cluster_links(spark, d):
+    e = _embeddings(spark, d)
+    words = e.select("cluster").distinct().select("cluster", F.array(F.concat(F.lit("k"), F.col("cluster").cast("string")), F.lit("l"), F.lit("m"), F.lit("n")).alias("keywords"))
+    return links.strongest_cluster_links(cluster_links(spark, d), words)
+
+
+def linked_clusters(spark, d):
+    return links.linked_clusters(cluster_links(spark, d), 0)
+
+
+def cluster_members(spark, d):
+    return links.cluster_members(_labelled(spark, d), 1).select("chunk_id")
+
+
 def cohesion(spark, d):
     return links.cohesion(_embeddings(spark, d)).select("cluster", "size", F.round("cohesion", 6).alias("cohesion"), "example")
 
@@ -107,11 +121,15 @@ def stale_vectors(spark, d):
 
 
 def reuse(spark, d):
-    """How many chunks find their vector by the hash of their text, and how many are to do."""
-    c = _chunks(spark, d).select("chunk_id", "text", text_hash(body(F.col("text"))).alias("hash"))
-    half = c.filter(F.crc32("hash") % 2 == 0).select("hash", F.array(F.lit(1.0).cast("float")).alias("vec"))
-    reused, todo = vectors.reuse_vectors(c, half)
-    return reused.agg(F.count(F.lit(1)).alias("reused")).crossJoin(todo.agg(F.count(F.lit(1)).alias("todo")))
+    """How many chunks find a stored vector of the full length by the hash of their text, for each model, and how many are to do."""
+    c = _chunks(spark, d).select("chunk_id", "text", text_hash(body(F.col("text"), F.col("embed_text"))).alias("hash"))
+    stored = table(spark, d, "chunk_vectors").select("hash", "model", F.when(F.size("vectors") == 192, F.col("vectors")).alias("vec"))
+    out = None
+    for (model,) in sorted(stored.filter("model is not null").select("model").distinct().limit(50).collect()):
+        reused, todo = vectors.reuse_vectors(c, stored, {"model": model})
+        one = reused.agg(F.lit(model).alias("model"), F.count(F.lit(1)).alias("reused")).crossJoin(todo.agg(F.count(F.lit(1)).alias("todo")))
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame([], "model string, reused long, todo long")
 
 
 def embedded(spark, d):
@@ -120,9 +138,16 @@ def embedded(spark, d):
     return vectors.embed(c, vectors.hashing_encoder).select("hash", F.round(vectors.norm(F.col("vec")), 4).alias("norm"))
 
 
-def tfidf(spark, d):
+def tfidf_weights(spark, d):
+    """Terms of every chunk and the largest of their unit weights."""
     t = vectors.tfidf(_chunks(spark, d).select(F.col("chunk_id").alias("id"), "text"))
-    return t.select("id", F.size("terms").alias("terms"), F.round(F.aggregate("terms", F.lit(0.0), lambda s, x: s + x["weight"] * x["weight"]), 6).alias("norm2"))
+    return t.select("id", F.size("terms").alias("terms"), F.round(F.array_max(F.transform("terms", lambda x: x["weight"])), 6).alias("largest"))
+
+
+def tfidf_vectors(spark, d):
+    """Every chunk's vector from the decomposition of these weights: its length and numbers."""
+    v = vectors.tfidf_vectors(_chunks(spark, d).select(F.col("chunk_id").alias("id"), "text"), 64)
+    return v.select("id", F.size("vec").alias("dims"), F.round(vectors.norm(F.col("vec")), 6).alias("norm"))
 
 
 def vector_map(spark, d):
@@ -139,16 +164,16 @@ def phrase_scores(spark, d):
 
 
 def key_phrases(spark, d):
-    return phrases.key_phrases(_chunks(spark, d))
+    return phrases.key_phrases(_chunks(spark, d)).withColumn("key_phrases", F.array_join("key_phrases", "|"))
 
 
 def chunk_titles(spark, d):
     c = _chunks(spark, d).drop("title", "title_source", "key_phrases").withColumn("seq", F.struct("doc_id", "position"))
-    return phrases.titles(c)
+    return phrases.titles(c).withColumn("key_phrases", F.array_join("key_phrases", "|"))
 
 
 def cluster_keywords(spark, d):
-    return phrases.cluster_keywords(_labelled(spark, d).select(F.col("chunk_id").alias("id"), "cluster", "text"))
+    return phrases.cluster_keywords(_labelled(spark, d).select(F.col("chunk_id").alias("id"), "cluster", "text")).withColumn("keywords", F.array_join("keywords", "|"))
 
 
 def keyword_hits(spark, d):
@@ -169,8 +194,9 @@ _LAB = _C.replace("any_value(topic_title) AS topic_title", "any_value(record) AS
 QUERIES = {
     "vec_norm": vec_norm, "vec_topk": vec_topk, "vec_similar_to": vec_similar_to, "knn_exact": knn_exact, "knn_links": knn_links, "link_relations": link_relations, "near_duplicates": near_duplicates,
     "cluster_links": cluster_links, "cohesion": cohesion, "nmi": nmi, "cluster_summary": cluster_summary, "form_clusters": form_clusters, "split_topics": split_topics, "consecutive_similarity": consecutive_similarity,
-    "stale_vectors": stale_vectors, "vector_reuse": reuse, "embedded_chunks": embedded, "tfidf_vectors": tfidf, "vector_map": vector_map, "phrase_df": phrase_df, "phrase_scores": phrase_scores,
+    "stale_vectors": stale_vectors, "vector_reuse": reuse, "embedded_chunks": embedded, "tfidf_weights": tfidf_weights, "tfidf_vectors": tfidf_vectors, "vector_map": vector_map, "phrase_df": phrase_df, "phrase_scores": phrase_scores,
     "key_phrases": key_phrases, "chunk_titles": chunk_titles, "cluster_keywords": cluster_keywords, "keyword_hits": keyword_hits, "matching_points": matching_points,
+    "strongest_cluster_links": strongest_cluster_links, "linked_clusters": linked_clusters, "cluster_members": cluster_members,
 }
 _TOP = "list_dot_product(v, (SELECT v FROM e WHERE id = (SELECT min(id) FROM e)))"
 _SUMMARY = f"""WITH {_LAB}, l AS (SELECT record % 10 AS cluster, lower(trim(replace(record_type, '-', ''))) AS t, doc_id,
@@ -185,6 +211,14 @@ SELECT z.cluster, z.size, coalesce((SELECT m FROM mm WHERE mm.cluster = z.cluste
  (SELECT t FROM tt WHERE tt.cluster = z.cluster AND r = 1) AS top_record_type, (SELECT round(n / z.size, 6) FROM tt WHERE tt.cluster = z.cluster AND r = 1) AS top_type_share
 FROM (SELECT cluster, count(*) AS size FROM m GROUP BY 1) z JOIN dd USING (cluster)"""
 ORACLES = {
+    "vector_reuse": f"WITH c AS (SELECT chunk_id, substr(sha1(split_part(any_value(embed_text), chr(10), 1) || chr(10) || regexp_replace(any_value(text), '\\[Imagem:[^\\]]*\\]', ' ', 'g')), 1, 16) AS hash FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY 1),"
+    " m AS (SELECT DISTINCT model FROM chunk_vectors WHERE model IS NOT NULL), h AS (SELECT DISTINCT model, hash FROM chunk_vectors WHERE hash IS NOT NULL AND len(vectors) = 192)"
+    " SELECT m.model, count(h.hash) AS reused, count(*) - count(h.hash) AS todo FROM m CROSS JOIN c LEFT JOIN h ON h.model = m.model AND h.hash = c.hash GROUP BY 1",
+    "strongest_cluster_links": _KNN + ", p AS (SELECT least(la, lb) AS cluster_a, greatest(la, lb) AS cluster_b, count(*) AS links FROM l WHERE la <> lb GROUP BY 1, 2)"
+    " SELECT cluster_a, cluster_b, links, 'k' || cluster_a || ', l, m' AS keywords_a, 'k' || cluster_b || ', l, m' AS keywords_b FROM p ORDER BY links DESC, cluster_a, cluster_b LIMIT 20",
+    "linked_clusters": _KNN + ", p AS (SELECT least(la, lb) AS a, greatest(la, lb) AS b, count(*) AS links FROM l WHERE la <> lb GROUP BY 1, 2)"
+    " SELECT CASE WHEN a = 0 THEN b ELSE a END AS cluster, links FROM p WHERE a = 0 OR b = 0 ORDER BY links DESC, cluster LIMIT 10",
+    "cluster_members": f"WITH {_LAB} SELECT chunk_id FROM c WHERE record % 10 = 1 ORDER BY doc_id, position, chunk_id LIMIT 200",
     "cluster_summary": _SUMMARY,
     "matching_points": f"WITH {_LAB} SELECT chunk_id FROM (SELECT *, list_distinct(list_transform(list_filter(regexp_split_to_array(coalesce(main_programs, ''), '\\s+'), lambda p: p <> ''), lambda p: regexp_extract(p, '^[A-Z]+'))) AS ms FROM c)"
     " WHERE contains(lower(concat_ws(' ', title, doc_name, CASE WHEN len(ms) = 1 THEN ms[1] ELSE '' END, chunk_id)), 'fatu')",
