@@ -195,6 +195,9 @@ def evidence(chunks: DataFrame, r: DataFrame, max_baskets: int = 30, limit: int
     pairs = per_basket.select("basket", "doc", "bseq", "first_chunk", F.explode(pair_column()).alias("p")).select("*", "p.a", "p.b").drop("p")
     pairs = pairs.join(wanted, ["a", "b"], "left_semi")
     first = W.partitionBy("a", "b").orderBy("bseq", "basket")
+    # a frequent pair's first baskets are found in parts, so that no task sees all of them
+    part = W.partitionBy("a", "b", "part").orderBy("bseq", "basket")
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("basket"), F.lit(64))).withColumn("n", F.row_number().over(part)).filter(F.col("n") <= max_baskets).drop("part", "n")
     pairs = pairs.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= max_baskets)
     both = chunks.select("basket", "seq", "chunk_id", F.explode(pair_column()).alias("p")).select("basket", "p.a", "p.b", "seq", "chunk_id")
     best = both.join(pairs.select("basket", "a", "b"), ["basket", "a", "b"], "left_semi").groupBy("basket", "a", "b").agg(F.min_by("chunk_id", "seq").alias("both_chunk"))

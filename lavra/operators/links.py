@@ -120,15 +120,25 @@ def split_topics(chunks: DataFrame) -> DataFrame:
     return g.filter((F.col("chunks") > 1) & (F.size("clusters") > 1))
 
 
-def consecutive_similarity(chunks: DataFrame, low: float = 0.25, high: float = 0.92) -> DataFrame:
+def consecutive_similarity(chunks: DataFrame, low: float = 0.25, high: float = 0.92, span: int = 10_000) -> DataFrame:
     """(chunk_id, next_id, similarity, side) of neighbours in a record that are very unlike or very alike.
 
-    ``chunks`` is (chunk_id, doc_id, record, position, vec). Order is within the document.
+    ``chunks`` is (chunk_id, doc_id, record, position, vec). Order is within the document. A document
+    may hold a large part of all rows: its order is found in ranges of ``span`` positions, over ids
+    only, each range ends at the first chunk of the next one, and vectors are joined to the pairs.
     """
-    w = W.partitionBy("doc_id").orderBy("position", "chunk_id")
-    c = chunks.select("chunk_id", "record", "vec", *[F.lead(x).over(w).alias("next_" + x) for x in ("chunk_id", "record", "vec")])
-    c = c.filter(F.col("record").eqNullSafe(F.col("next_record")) & F.col("next_chunk_id").isNotNull() & F.col("vec").isNotNull() & F.col("next_vec").isNotNull())
-    s = c.select("chunk_id", F.col("next_chunk_id").alias("next_id"), dot(F.col("vec"), F.col("next_vec")).alias("similarity"))
+    place = chunks.select("chunk_id", "doc_id", "record", "position", F.floor(F.coalesce("position", F.lit(-1)) / span).alias("span"))
+    inside = W.partitionBy("doc_id", "span").orderBy("position", "chunk_id")
+    following = F.struct("chunk_id", "record")
+    c = place.withColumn("next", F.lead(following).over(inside))
+    first = place.groupBy("doc_id", "span").agg(F.min(F.struct("position", "chunk_id", "record")).alias("f"))
+    # one row a range: few even for a document with a third of all chunks
+    after = first.withColumn("g", F.lead("f").over(W.partitionBy("doc_id").orderBy("span"))).select(F.col("doc_id").alias("d"), F.col("span").alias("s"), F.struct("g.chunk_id", "g.record").alias("g"))
+    c = c.join(after, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("span") == F.col("s")), "left").withColumn("next", F.coalesce("next", "g"))
+    c = c.filter(F.col("record").eqNullSafe(F.col("next.record")) & F.col("next.chunk_id").isNotNull()).select("chunk_id", F.col("next.chunk_id").alias("next_id"))
+    v = chunks.filter("vec is not null").select("chunk_id", "vec")
+    c = c.join(v, "chunk_id").join(v.select(F.col("chunk_id").alias("next_id"), F.col("vec").alias("next_vec")), "next_id")
+    s = c.select("chunk_id", "next_id", dot(F.col("vec"), F.col("next_vec")).alias("similarity"))
     return s.filter((F.col("similarity") < low) | (F.col("similarity") > high)).withColumn("side", F.when(F.col("similarity") < low, "low").otherwise("high"))
 
 

@@ -8,12 +8,14 @@ appearance. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.functions.text import clean_label
+from lavra.session import staged
 
 
 def read_menu(spark: SparkSession, path: str) -> DataFrame:
@@ -43,12 +45,12 @@ def base_codes(entries: DataFrame) -> DataFrame:
     return e.filter(F.col("base").rlike(r"^[A-Z]{2,6}\d{1,4}\z")).withColumn("label", F.nullif(clean_label(F.col("label")), F.lit("")))
 
 
-def common_names(entries: DataFrame, share: float = 0.4, longest: int = 40) -> DataFrame:
+def common_names(entries: DataFrame, share: float = 0.4) -> DataFrame:
     """(base, name): the longest word prefix that at least 40 % of the labels share, two at least.
 
     Words are taken one at a time, always the most frequent next word (ties by first appearance)
     among the labels that agree so far. Each word place is one aggregation over all codes; below
-    four characters the most frequent label stands in.
+    four characters the most frequent label stands in. It ends with the longest shared prefix.
     """
     labels = base_codes(entries).filter("label is not null").withColumn("w", F.split("label", r"\s+"))
     need = labels.groupBy("base").agg(F.greatest(F.lit(2), F.floor(F.count(F.lit(1)) * share)).alias("need"))
@@ -56,11 +58,12 @@ def common_names(entries: DataFrame, share: float = 0.4, longest: int = 40) -> D
     frequent = top.groupBy("base").agg(F.min(F.struct((-F.col("n")).alias("d"), "first", "label")).alias("m")).select("base", F.col("m.label").alias("frequent"))
     live = labels.join(need, "base").select("base", "need", "seq", "w")
     best = frequent.select("base", F.lit("").alias("prefix"))
-    for i in range(longest):
+    for i in count():
         word = F.lower(F.get("w", F.lit(i)))
         n = live.filter(word.isNotNull()).groupBy("base", word.alias("word"), "need").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.min_by("w", "seq").alias("shown"))
         win = n.groupBy("base").agg(F.min(F.struct((-F.col("n")).alias("d"), "first", "word", "shown", "need")).alias("m")).filter(-F.col("m.d") >= F.col("m.need"))
-        win = win.select("base", F.col("m.word").alias("word"), F.array_join(F.slice("m.shown", 1, i + 1), " ").alias("longer")).cache()
+        win = win.select("base", F.col("m.word").alias("word"), F.array_join(F.slice("m.shown", 1, i + 1), " ").alias("longer"))
+        win = staged(win, "menu")
         if win.isEmpty():
             break
         best = best.join(win.select("base", "longer"), "base", "left").select("base", F.coalesce("longer", "prefix").alias("prefix"))

@@ -12,16 +12,15 @@ from pyspark.sql import functions as F
 
 from lavra.functions import patterns as P
 from lavra.functions import text as T
+from lavra.session import staged
 
+# What a word of a phrase is, and where phrases end.
 _WORD = r"[A-Za-zÀ-ú]+(?:-[A-Za-zÀ-ú]+)*"
+_PHRASE_END = r"[.;:!?\n()\"“”*•]"
 _STOP = P.PHRASE_STOP.split()
 _DULL = sorted({*P.PHRASE_STOP.split(), *P.PHRASE_BOILERPLATE.split()})
 
 
-def _set(words: list[str]) -> Column:
-    return F.array(*[F.lit(w) for w in sorted(set(words))])
-
-
 def candidates(text: Column) -> Column:
     """All phrases of 1-3 words inside punctuation, in lower case, repeats kept.
 
@@ -30,7 +29,7 @@ def candidates(text: Column) -> Column:
     """
     clean = F.regexp_replace(F.coalesce(text, F.lit("")), P.MARKER, " ")
     clean = F.regexp_replace(clean, rf"\b(?:{'|'.join(P.MODULES)})\d{{1,4}}\b", " ")
-    segments = F.transform(F.split(clean, r"[.;:!?\n()\"“”*•]"), lambda s: F.transform(F.regexp_extract_all(s, F.lit(_WORD), F.lit(0)), F.lower))
+    segments = F.transform(F.split(clean, _PHRASE_END), lambda s: F.transform(F.regexp_extract_all(s, F.lit(_WORD), F.lit(0)), F.lower))
     # each word is marked once: 2 usable, 1 stop word, 0 neither
     mark = lambda w: F.when((F.length(w) > 2) & ~w.isin(*_DULL), 2).when(w.isin(*_STOP), 1).otherwise(0)
     marked = F.transform(segments, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("w"), mark(w).alias("m"))))
@@ -76,6 +75,7 @@ def key_phrases(chunks: DataFrame, k: int = 5) -> DataFrame:
     return s.select("chunk_id", pick_apart(F.transform("s", lambda x: x["phrase"]), k).alias("key_phrases"))
 
 
+# How names stand beside program codes.
 _UP = "A-ZÁÉÍÓÚÂÊÔÃÕÇ"
 _MOD = "|".join(P.MODULES)
 NAME_BEFORE = rf"([{_UP}][\p{{L}}\p{{N}}_/ ]{{3,50}}?)\s?[-–]\s?((?:{_MOD})\d{{1,4}})\b"
@@ -100,14 +100,13 @@ def learnt_names(chunks: DataFrame) -> DataFrame:
     return best.filter((F.col("b.d") <= -2) | (F.col("names") == 1)).select("code", F.col("b.name").alias("name"))
 
 
-def subject(text: Column, record_type: Column, topic_number: Column, phrases: Column) -> Column:
+def subject(text: Column, record_type: Column, topic_number: Column, phrases: Column, fields: Column, head: Column) -> Column:
     """struct(subject, source): request, mail subject, screen fields, heading, key phrases, start of the text."""
     t = F.coalesce(text, F.lit(""))
     asked = F.trim(F.regexp_extract(t, r"Solicita[çc][ãa]o\s*:\s*(.+)", 1))
     mail = T.email_subject(t)
-    screen = F.slice(T.fields(t), 1, 5)
-    many = (F.size(T.fields(t)) >= 3) & (F.size(F.regexp_extract_all(t, F.lit(r"(?U)\bcampo\b"), F.lit(0))) >= 3)
-    head = T.heading(t)
+    screen = F.slice(fields, 1, 5)
+    many = (F.size(fields) >= 3) & (F.size(F.regexp_extract_all(t, F.lit(r"(?U)\bcampo\b"), F.lit(0))) >= 3)
     rest = F.trim(F.regexp_replace(t, P.IMAGE, " "))
     start = F.when(head != "", head).when(F.substring(rest, 1, 80) != "", F.substring(rest, 1, 80)).otherwise("(somente imagens)")
     pair = lambda s, w: F.struct(s.alias("subject"), F.lit(w).alias("source"))
@@ -139,7 +138,9 @@ def titles(chunks: DataFrame, menu_names: DataFrame | None = None) -> DataFrame:
         names = both.select("code", F.coalesce("menu", "name").alias("name"))
     c = chunks.join(key_phrases(chunks), "chunk_id", "left").join(program_parts(chunks, names), "chunk_id", "left")
     phrases = F.coalesce("key_phrases", F.array().cast("array<string>"))
-    s = c.withColumn("key_phrases", phrases).withColumn("s", subject(F.col("text"), F.col("record_type"), F.col("topic_number"), F.col("key_phrases")))
+    # fields and heading are found once a row; the optimizer doesn't copy such costly expressions into each place that reads them
+    s = c.withColumns({"key_phrases": phrases, "_fields": T.fields(F.col("text")), "_head": T.heading(F.col("text"))})
+    s = s.withColumn("s", subject(F.col("text"), F.col("record_type"), F.col("topic_number"), F.col("key_phrases"), F.col("_fields"), F.col("_head")))
     title = F.when(F.coalesce("program_part", F.lit("")) != "", F.concat("program_part", F.lit(" — "), "s.subject")).otherwise(F.col("s.subject"))
     return s.select("chunk_id", title.alias("title"), F.col("s.source").alias("title_source"), "key_phrases")
 
@@ -160,8 +161,8 @@ def cluster_keywords(texts: DataFrame, k: int = 6, min_df: int = 3, max_share: f
     skipped. Equal scores go by keyword.
     """
     plain = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), P.IMAGE, " "), r"\b[A-Z]{3,5}\d{1,4}\b", " ")
-    stop = _set(P.CLUSTER_STOP.split())
-    words = F.filter(F.regexp_extract_all(F.lower(plain), F.lit(r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"), F.lit(0)), lambda w: ~F.array_contains(stop, w))
+    stop = sorted(set(P.CLUSTER_STOP.split()))
+    words = F.filter(F.regexp_extract_all(F.lower(plain), F.lit(r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"), F.lit(0)), lambda w: ~w.isin(*stop))
     pairs = F.transform(F.array(words), lambda w: F.when(F.size(w) > 1, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))))[0]
     grams = F.concat(words, F.coalesce(pairs, F.array().cast("array<string>")))
     long = texts.select("id", "cluster", F.explode(grams).alias("gram")).groupBy("id", "cluster", "gram").agg(F.count(F.lit(1)).alias("n"))
@@ -173,9 +174,13 @@ def cluster_keywords(texts: DataFrame, k: int = 6, min_df: int = 3, max_share: f
     col = ctf.groupBy("gram").agg(F.sum("c").alias("col"))
     s = ctf.join(size, "cluster").join(col, "gram").crossJoin(F.broadcast(mean))
     s = s.withColumn("score", F.col("c") / F.greatest("size", F.lit(1)) * F.log(1 + F.col("mean") / F.greatest("col", F.lit(1))))
-    # more grams are kept than asked for, as some will be skipped; the skip rule runs over them in order
-    top = s.withColumn("r", F.row_number().over(W.partitionBy("cluster").orderBy(F.desc("score"), "gram"))).filter(F.col("r") <= 20 * k)
-    g = top.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("r", "gram"))).alias("g"))
     near = lambda acc, w: F.exists(acc, lambda q: q.contains(w) | w.contains(q))
     pick = F.aggregate(F.transform("g", lambda x: x["gram"]), F.array().cast("array<string>"), lambda acc, w: F.when((F.size(acc) < k) & ~near(acc, w), F.concat(acc, F.array(w))).otherwise(acc))
-    return g.select("cluster", pick.alias("keywords"))
+    # the skip rule runs over the best grams in order; where too many are skipped more of them are taken
+    s, most = staged(s.select("cluster", "gram", "score"), "keywords"), 20 * k
+    while True:
+        top = s.withColumn("r", F.row_number().over(W.partitionBy("cluster").orderBy(F.desc("score"), "gram"))).filter(F.col("r") <= most)
+        g = staged(top.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("r", "gram"))).alias("g")).select("cluster", pick.alias("keywords"), F.size("g").alias("seen")), "keywords")
+        if not g.filter((F.size("keywords") < k) & (F.col("seen") == most)).limit(1).count():
+            return g.select("cluster", "keywords")
+        most *= 10

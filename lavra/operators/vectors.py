@@ -299,12 +299,24 @@ class Rows:
         self.first = np.concatenate(([0], np.cumsum(sizes)))
         self.column, self.value = column, value
 
+    def _parts(self) -> Iterator[tuple[int, int, int, int]]:
+        """(first row, end row, first entry, end entry) of about 20,000 entries each."""
+        marks = np.unique(np.searchsorted(self.first, np.arange(0, self.first[-1] + 20_000, 20_000)).clip(max=len(self.first) - 1))
+        for i, j in pairwise(marks.tolist() if marks[0] == 0 else [0, *marks.tolist()]):
+            yield i, j, int(self.first[i]), int(self.first[j])
+
     def times(self, axes: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.first) - 1, axes.shape[1]))
-        for i, (a, b) in enumerate(pairwise(self.first)):
-            out[i] = self.value[a:b] @ axes[self.column[a:b]]
+        for i, j, a, b in self._parts():
+            full = np.flatnonzero(np.diff(self.first[i : j + 1]))
+            if len(full):
+                out[i + full] = np.add.reduceat(self.value[a:b, None] * axes[self.column[a:b]], self.first[i + full] - a, axis=0)
         return out
 
     def add_back(self, y: np.ndarray, total: np.ndarray) -> None:
-        for i, (a, b) in enumerate(pairwise(self.first)):
-            total[self.column[a:b]] += self.value[a:b, None] * y[i]  # a row names each column once
+        row = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        for _, _, a, b in self._parts():
+            order = a + np.argsort(self.column[a:b], kind="stable")
+            at, begin = np.unique(self.column[order], return_index=True)
+            if len(at):
+                total[at] += np.add.reduceat(self.value[order, None] * y[row[order]], begin, axis=0)

@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is made and set.
+    Only where a local session names none (tests) a temporary folder is made and set; on a cluster
+    a folder of one machine would be lost to the others, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lavra-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -47,6 +50,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def move_path(spark: SparkSession, source: str, to: str) -> None:
+    """Put a finished folder in the place of another, by renaming."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, to))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {to}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path on whatever file system it lies."""
     jvm = spark._jvm

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lavra.session import move_path
+
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -49,7 +51,8 @@ def save_vectors(vectors: DataFrame, path: str, dims: int) -> int:
     n, bad = vectors.agg(F.count(F.lit(1)), F.count_if(F.coalesce(F.size("vec"), F.lit(-1)) != dims)).first()
     if bad:
         raise ValueError(f"{bad} of {n} vectors are not of length {dims}")
-    vectors.write.mode("overwrite").parquet(path)
+    vectors.write.mode("overwrite").parquet(f"{path}.tmp")
+    move_path(vectors.sparkSession, f"{path}.tmp", path)  # readers see the old set or the new one, never a part
     return n
 
 

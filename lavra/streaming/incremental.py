@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.text import text_hash
 from lavra.operators.vectors import embed, reuse_vectors
+from lavra.session import path_exists
 
 
 def embed_stream(chunks: DataFrame, store: str, checkpoint: str, make_encoder: Callable, once: bool = True) -> StreamingQuery:
@@ -22,10 +23,10 @@ def embed_stream(chunks: DataFrame, store: str, checkpoint: str, make_encoder: C
     schema = "chunk_id string, hash string, vec array<float>, batch long"
 
     def stored(before: int) -> DataFrame:
-        try:
-            return spark.read.schema(schema).parquet(store).filter(F.col("batch") < before)
-        except Exception:  # nothing is stored yet
+        # only a store that is not there is empty; any other failure to read it is one
+        if not path_exists(spark, store):
             return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(store).filter(F.col("batch") < before)
 
     def step(batch: DataFrame, number: int) -> None:
         b = batch.filter("text is not null").dropDuplicates(["chunk_id"]).select("chunk_id", "text", text_hash(F.col("text")).alias("hash"))
