@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lavra.llm.checks import P3
 from lavra.llm.density import density_clusters, describe_clusters, isolated_clusters
 from lavra.llm.neighbours import valid_vectors
 from lavra.session import staged, table
@@ -42,4 +43,4 @@ def typical_of(numbered):
 
 
 QUERIES = {"p3_found": p3_found, "p3_clusters": p3_clusters}
-ORACLES: dict = {}
+ORACLES = {"p3_found": P3}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lavra.llm.checks import P1
 from lavra.llm.distinctive import distinctive_phrases
 from lavra.session import table
 
@@ -26,4 +27,4 @@ def p1_ranked(spark, d):
 
 
 QUERIES = {"p1_found": p1_found, "p1_ranked": p1_ranked}
-ORACLES: dict = {}
+ORACLES = {"p1_found": P1}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lavra.llm.checks import P8
 from lavra.llm.leakage import MATCH, leaked_passages
 from lavra.session import table
 
@@ -24,4 +25,4 @@ def p8_aligned(spark, d):
 
 
 QUERIES = {"p8_found": p8_found, "p8_aligned": p8_aligned}
-ORACLES: dict = {}
+ORACLES = {"p8_found": P8}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lavra.llm.checks import P6
 from lavra.llm.density_queries import vectors_of
 from lavra.llm.neighbours import mutual_pairs, nearest_vectors
 
@@ -20,4 +21,4 @@ def p6_neighbours(spark, d):
 
 
 QUERIES = {"p6_found": p6_found, "p6_neighbours": p6_neighbours}
-ORACLES: dict = {}
+ORACLES = {"p6_found": P6}

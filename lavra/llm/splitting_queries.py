@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lavra.llm.checks import P4
 from lavra.llm.splitting import split_topics
 from lavra.session import table
 
@@ -17,4 +18,4 @@ def p4_bisected(spark, d):
 
 
 QUERIES = {"p4_found": p4_found, "p4_bisected": p4_bisected}
-ORACLES: dict = {}
+ORACLES = {"p4_found": P4}
