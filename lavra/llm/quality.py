@@ -4,6 +4,9 @@ Every line is given a form from its own shape and its block's: rows of cells, sh
 running text, or nothing readable. Running text must also pass for language: share of common
 words, odd symbols, repetition. The document takes the form with the most characters.
 
+Common words are counted: those that a share of all documents hold, besides a fixed list of function
+words for collections too small to tell. A text must hold half as many of them as the collection does.
+
 Defined results
 * Null, empty and blank texts have zero statistics and a null kind.
 * Ties between forms go to prose, then list, table, junk. Repeated rows give repeated results.
@@ -13,13 +16,20 @@ Defined results
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import groupby
 from statistics import median
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lavra.llm.words import END, Hashes, Splitter, portions, text_of
+from lavra.session import staged
 
 # Frequent function words of Portuguese, Spanish and English, folded to lower case.
 COMMON = frozenset(
@@ -52,6 +62,19 @@ VOWELS = re.compile("[aeiouyáàâãéêíóôõúü]", re.I)
 
 #: Shares and sizes the rules compare with.
 ENTRY_CHARS, ENTRY_WORDS, MIN_COMMON, MAX_ODD, MIN_DISTINCT = 75, 9, 0.16, 0.08, 0.12
+#: A word is common when this share of the documents hold it, three at least. So there are at most as
+#: many as a document has different words on average, divided by the share.
+COMMON_SHARE, COMMON_LEAST = 0.005, 3
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """Common words, and the share of a text's words that must be among them."""
+
+    words: frozenset[str] = COMMON
+    least: float = MIN_COMMON
+
+
 
 STATS = (
     "words long, mean_word_length double, symbol_ratio double, lines long, end_mark_share double, common_share double,"
@@ -64,7 +87,7 @@ def _odd_share(text: str) -> float:
     return (len(NOT_ODD.sub("", text)) + text.count("_")) / max(1, len(text))
 
 
-def readable(text: str, words: list[str]) -> bool:
+def readable(text: str, words: list[str], known: Vocabulary = Vocabulary()) -> bool:
     """Does running text, with these lower-case words, pass for language?"""
     n = len(words)
     letters = sum(map(len, words))
@@ -74,11 +97,11 @@ def readable(text: str, words: list[str]) -> bool:
     if _odd_share(text) > MAX_ODD or letters < 0.5 * solid:
         return False
     longer = [w for w in words if len(w) > 1]  # shuffled letters leave one-letter words whole
-    common = sum(map(COMMON.__contains__, longer))
+    common = sum(map(known.words.__contains__, longer))
     if n >= 12 and (len(set(words)) < MIN_DISTINCT * n or Counter(words).most_common(1)[0][1] > 0.5 * n):
         return False
     if n >= 8:
-        if common + 1 < MIN_COMMON * len(longer):  # one more, as a single sentence may hold few
+        if common + 1 < known.least * len(longer):  # one more, as a single sentence may hold few
             return False
     if n and len(VOWELS.findall("".join(words))) < 0.2 * letters:
         return False
@@ -216,10 +239,10 @@ def _settle(lines: list[str], forms: list[str]) -> list[str]:
     return out
 
 
-def kind_and_stats(text: str | None) -> tuple:
+def kind_and_stats(text: str | None, known: Vocabulary = Vocabulary()) -> tuple:
     if not text or not text.strip():
         return (None, 0, 0.0, 0.0, 0, 0.0, 0.0, 0.0, 0.0, 0.0)
-    flat = text.replace("\r\n", "\n").replace("\r", "\n")
+    flat = unicodedata.normalize("NFC", text).replace("\r\n", "\n").replace("\r", "\n")
     lines = [x for x in flat.split("\n") if x.strip()]
     stripped = [x.strip() for x in lines]
     words = WORD.findall(flat.lower())
@@ -227,7 +250,7 @@ def kind_and_stats(text: str | None) -> tuple:
     solid = max(1, sum(map(len, flat.split())))
     symbols = (len(NOT_SYMBOL.sub("", flat)) + flat.count("_")) / solid
     ends = sum(x.endswith(END_MARKS) for x in stripped) / len(lines)
-    common = sum(map(COMMON.__contains__, words)) / max(1, n)
+    common = sum(map(known.words.__contains__, words)) / max(1, n)
     counts = Counter(stripped)
     dup_lines = sum(len(x) * (k - 1) for x, k in counts.items()) / max(1, sum(map(len, stripped)))
     paragraphs = [p.strip() for p in re.split(r"\n\s*\n", flat) if p.strip()]
@@ -237,7 +260,7 @@ def kind_and_stats(text: str | None) -> tuple:
     stats = (n, sum(map(len, words)) / max(1, n), symbols, len(lines), ends, common, dup_lines, dup_paragraphs, top_gram)
 
     share: Counter = Counter()
-    if (len(lines) >= 5 and dup_lines > 0.75) or (n >= 12 and top_gram > 0.4):
+    if (len(lines) >= 5 and dup_lines > 0.75) or (len(paragraphs) >= 5 and dup_paragraphs > 0.75) or (n >= 12 and top_gram > 0.4):
         share["junk"] = len(flat)
     else:
         forms = _settle(lines, line_forms(lines))
@@ -246,7 +269,7 @@ def kind_and_stats(text: str | None) -> tuple:
             k = len(list(run))
             block = "\n".join(lines[i : i + k])
             size = len(block)
-            if form == "text" and not readable(block, words if k == len(lines) else WORD.findall(block.lower())):
+            if form == "text" and not readable(block, words if k == len(lines) else WORD.findall(block.lower()), known):
                 form = "junk"
             elif form == "list" and not _entries_readable(block):
                 form = "junk"
@@ -262,13 +285,44 @@ def _entries_readable(block: str) -> bool:
     return _odd_share(block.replace("[", "").replace("]", "").replace("*", "").replace("+", "").replace("•", "").replace("|", "")) <= 0.15 and (letters < 8 or vowels >= 0.2 * letters)
 
 
-def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
+_SPLITTER, _HASHES = Splitter(plain=False, folded=False), Hashes()
+
+
+def _word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(word, docs, times) of each portion of the texts; words of two letters or more."""
     for b in batches:
-        f = pd.DataFrame([(d, *kind_and_stats(t)) for d, t in zip(b["doc_id"], b["text"])], columns=names)
-        yield f.astype({"doc_id": "Int64"})
+        for _, texts in portions(b["text"]):
+            words = _SPLITTER.split(texts)
+            h = _HASHES.of(words)
+            ends = np.flatnonzero(h == _HASHES[END])
+            doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=-1))
+            kinds, first, at = np.unique(h, return_index=True, return_inverse=True)
+            times = np.bincount(at, minlength=len(kinds))
+            docs = np.bincount(np.unique(at.astype(np.int64) * len(ends) + doc) // max(1, len(ends)), minlength=len(kinds))
+            names = [text_of(words[i]) for i in first.tolist()]
+            f = pd.DataFrame({"word": names, "docs": docs, "times": times})
+            yield f[f["word"].str.len() > 1]
+
+
+def common_words(documents: DataFrame, share: float = COMMON_SHARE) -> Vocabulary:
+    """The words that a share of all documents hold, with half the share of all words that they make up."""
+    counts = documents.filter("text is not null").select("text").mapInPandas(_word_rows, "word string, docs long, times long")
+    counts = staged(counts.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("times").alias("times")), "p9-words")
+    least = max(COMMON_LEAST, share * documents.filter("text is not null").count())
+    is_common = (F.col("docs") >= least) | F.col("word").isin(*sorted(COMMON))
+    total, held = counts.agg(F.sum("times"), F.sum(F.when(is_common, F.col("times")))).first()
+    words = [r[0] for r in counts.filter(F.col("docs") >= least).select("word").collect()]  # bounded as COMMON_SHARE says
+    return Vocabulary(COMMON | frozenset(words), max(MIN_COMMON, 0.5 * (held or 0) / (total or 1)))
 
 
 def text_quality(documents: DataFrame) -> DataFrame:
     """(doc_id, kind, statistics...) of every row."""
-    return documents.select("doc_id", "text").mapInPandas(_run, SCHEMA)
+    names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
+    shared = documents.sparkSession.sparkContext.broadcast(common_words(documents))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            f = pd.DataFrame([(d, *kind_and_stats(t, shared.value)) for d, t in zip(b["doc_id"], b["text"])], columns=names)
+            yield f.astype({"doc_id": "Int64"})
+
+    return documents.select("doc_id", "text").mapInPandas(run, SCHEMA)

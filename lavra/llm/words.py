@@ -31,29 +31,33 @@ def _blank(e: UnicodeEncodeError) -> tuple[str, int]:
 codecs.register_error("lavra-blank", _blank)
 
 
-def _table(inside) -> bytes:
+def _table(inside, change) -> bytes:
     """Each Latin-1 byte's folded letter where it is part of a word, a blank elsewhere; the end mark stays."""
     out = bytearray(b" " * 256)
     for i in range(256):
-        c = fold(chr(i))
+        c = change(chr(i))
         if len(c) == 1 and ord(c) < 256 and inside(c):
             out[i] = ord(c)
     out[0] = 0
     return bytes(out)
 
 
+def _composed(text: str) -> str:
+    return unicodedata.normalize("NFC", text).lower()
+
+
 class Splitter:
-    """Words of folded texts: runs of letters, or runs of a-z and 0-9 where ``plain``."""
+    """Words of folded texts: runs of letters, or runs of a-z and 0-9 where ``plain``; accents stay in lower case where they are not ``folded``."""
 
-    def __init__(self, plain: bool):
-        self.plain = plain
-        self.table = _table(lambda c: c.isascii() and c.isalnum() if plain else unicodedata.category(c)[0] == "L")
+    def __init__(self, plain: bool, folded: bool = True):
+        self.plain, self.change = plain, fold if folded else _composed
+        self.table = _table(lambda c: c.isascii() and c.isalnum() if plain else unicodedata.category(c)[0] == "L", self.change)
 
     def _bytes(self, text: str) -> bytes | list[str]:
         try:
             return text.encode("latin-1", "lavra-blank")
         except UnicodeEncodeError:
-            folded = fold(text)
+            folded = self.change(text)
         if self.plain:
             return folded.encode("ascii", "replace")
         try:

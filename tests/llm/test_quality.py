@@ -2,7 +2,7 @@ import glob
 
 import pytest
 
-from lavra.llm.quality import kind_and_stats, text_quality
+from lavra.llm.quality import COMMON, common_words, kind_and_stats, text_quality
 
 CASES = {
     "prose": ["Quando o operador confirma o pedido, a tela é atualizada e o total não confere com a nota.\nDepois da integração, o relatório sai em branco para todos os usuários.", "Hoje não."],
@@ -38,3 +38,16 @@ def test_labelled_sample(spark):
     d, q = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "quality_labels"))
     rows = text_quality(d.join(q.select("doc_id"), "doc_id", "left_semi")).select("doc_id", "kind").join(q.withColumnRenamed("kind", "label"), "doc_id").collect()
     assert all(r.kind == r.label for r in rows)
+
+
+def test_common_words_are_counted(spark, rng):
+    names = ["fiscal", "carga", "laudo", "amostra", "pedido", "estoque", "contrato", "comissão", "remessa", "turno"]
+    prose = [". ".join(f"O operador confirma {rng.choice(names)} no programa e a tela de {rng.choice(names)} mostra {rng.choice(names)}" for _ in range(4)) + "." for _ in range(300)]
+    mixed = ["".join(rng.sample(w, len(w))) if len(w) > 2 else w for w in " ".join(prose[:3]).split(" ")]
+    docs = [(i, t) for i, t in enumerate(prose)] + [(900, " ".join(mixed)), (901, None), (902, ""), (903, " ".join(w[::-1] for w in prose[5].split(" ")))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    known = common_words(d)
+    assert {"operador", "comissão", "programa"} <= known.words and known.least > 0.4 and not {"rodarepo", "o"} & (known.words - COMMON)
+    kinds = {r.doc_id: r.kind for r in text_quality(d).collect()}
+    assert kinds[900] == kinds[903] == "junk" and kinds[901] is kinds[902] is None and {kinds[i] for i in range(300)} == {"prose"}
+    assert common_words(d.limit(0)).words == COMMON
