@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.words import END, Hashes, Splitter, portions, text_of
+from lavra.llm.words import END, KEPT, Splitter, portions, text_of
 from lavra.session import staged
 
 # Frequent function words of Portuguese, Spanish and English, folded to lower case.
@@ -54,11 +54,11 @@ NOT_ODD = re.compile(rf"[\w{re.escape(PLAIN_MARKS)}]+")
 NOT_SYMBOL = re.compile(r"[\w\s]+")
 BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]+")
 LETTERS = re.compile(r"[^\W\d_]+")
-LONG_TOKEN = re.compile(r"\S{40,}")
+LONG_TOKEN = 40
 END_MARKS = (".", "!", "?", ":", ";", "…")
 SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
 INLINE_MARKS = (" / ", " | ", " • ", " · ", "; ", ";", " - ", " – ", ", ")
-VOWELS = re.compile("[aeiouyáàâãéêíóôõúü]", re.I)
+VOWELS = "aeiouyáàâãéêíóôõúü"
 
 #: Shares and sizes the rules compare with.
 ENTRY_CHARS, ENTRY_WORDS, MIN_COMMON, MAX_ODD, MIN_DISTINCT = 75, 9, 0.16, 0.08, 0.12
@@ -83,6 +83,14 @@ STATS = (
 SCHEMA = f"doc_id long, kind string, {STATS}"
 
 
+_VOWEL_BYTES = (VOWELS + VOWELS.upper()).encode("latin-1")
+
+
+def _vowels(text: str) -> int:
+    data = text.encode("latin-1", "ignore")
+    return len(data) - len(data.translate(None, _VOWEL_BYTES))
+
+
 def _odd_share(text: str) -> float:
     return (len(NOT_ODD.sub("", text)) + text.count("_")) / max(1, len(text))
 
@@ -92,7 +100,8 @@ def readable(text: str, words: list[str], known: Vocabulary = Vocabulary()) -> b
     n = len(words)
     letters = sum(map(len, words))
     solid = max(1, len(text) - text.count(" ") - text.count("\n"))
-    if (long := LONG_TOKEN.findall(text)) and sum(len(t) for t in long if "/" not in t[:8] and "@" not in t) > 0.5 * solid:
+    tokens = text.split()
+    if max(map(len, tokens), default=0) >= LONG_TOKEN and sum(len(t) for t in tokens if len(t) >= LONG_TOKEN and "/" not in t[:8] and "@" not in t) > 0.5 * solid:
         return False
     if _odd_share(text) > MAX_ODD or letters < 0.5 * solid:
         return False
@@ -103,7 +112,7 @@ def readable(text: str, words: list[str], known: Vocabulary = Vocabulary()) -> b
     if n >= 8:
         if common + 1 < known.least * len(longer):  # one more, as a single sentence may hold few
             return False
-    if n and len(VOWELS.findall("".join(words))) < 0.2 * letters:
+    if n and _vowels("".join(words)) < 0.2 * letters:
         return False
     # letters that Latin texts hardly use, cut words and capitals inside words mark garbling
     foreign = sum(c.isalpha() for run in BEYOND_LATIN.findall(text) for c in run)
@@ -130,9 +139,9 @@ def _cells(line: str) -> dict[str, int]:
         out[";"] = s.count(";") + 1
     if s.startswith('"') and '","' in s:
         out['"'] = s.count('","') + 1
-    elif "," in s and not re.search(r", ", s) and s.count(",") > 1:
+    elif ", " not in s and s.count(",") > 1:
         out[","] = s.count(",") + 1
-    gaps = len(GAP.findall(s))
+    gaps = len(GAP.findall(s)) if "  " in s or "\t" in s else 0
     if gaps and "\t" not in out and not _wide_text(s, gaps):
         out["  "] = gaps + 1
     return {k: v for k, v in out.items() if v > 1}
@@ -149,8 +158,8 @@ def _inline_list(line: str) -> bool:
     """One line of many short entries set off by the same mark."""
     body = line.split(":", 1)[1] if ":" in line[:160] and len(line.split(":", 1)[1]) > 60 else line
     for mark in INLINE_MARKS:
-        parts = body.split(mark)
-        if len(parts) >= 5:
+        if body.count(mark) >= 4:
+            parts = body.split(mark)
             sizes = sorted(len(WORD.findall(p)) for p in parts)
             if sizes[len(sizes) // 2] <= 4 and sizes[int(len(sizes) * 0.9)] <= 8 and len(SENTENCE_END.findall(body)) <= 0.34 * len(parts):
                 return True
@@ -158,8 +167,7 @@ def _inline_list(line: str) -> bool:
 
 
 def line_forms(lines: list[str]) -> list[str]:
-    """A form for each non-blank line: table, list, short, text or junk."""
-    lines = [unquoted(x) for x in lines]
+    """A form for each non-blank line without quotes: table, list, short, text or junk."""
     cells = [_cells(x) for x in lines]
     rows: Counter = Counter()
     for c in cells:
@@ -169,19 +177,19 @@ def line_forms(lines: list[str]) -> list[str]:
     for (k, v), n in rows.items():
         by_mark[k] += n
     forms = []
+    # most texts hold no odd character but those that set cells apart
+    plain = not set(NOT_ODD.sub("", "".join(lines))) - set('|";') and not any("_" in x for x in lines)
     for x, c in zip(lines, cells):
         s = x.strip()
         if HEX_DUMP.match(s):
             forms.append("junk")
             continue
-        inner = s.replace("|", "").replace('"', "").replace(";", "")
-        odd = _odd_share(inner)
-        if len(s) >= 2 and odd > 0.2 and not BULLET.match(x):
+        b = BULLET.match(x)
+        if not plain and not b and len(s) >= 2 and _odd_share(s.replace("|", "").replace('"', "").replace(";", "")) > 0.2:
             forms.append("junk")
             continue
         # fixed-width rows may miss cells, so any count goes; other marks must repeat their count
         is_row = any((by_mark["  "] >= 3 if k == "  " else (rows[k, v] >= 3 and (v >= 3 or k != ";"))) for k, v in c.items())
-        b = BULLET.match(x)
         if is_row and not (b and max(c.values()) < 3) and not (set(c) == {";"} and max(c.values()) < 3):
             forms.append("table")
         elif b and len(s) - b.end() <= ENTRY_CHARS:
@@ -209,7 +217,6 @@ def _settle(lines: list[str], forms: list[str]) -> list[str]:
 
     Marked lines that go on from one to the next in lower case are wrapped text, too.
     """
-    lines = [unquoted(x) for x in lines]
     out = list(forms)
     i = 0
     for form, run in groupby(forms):
@@ -263,7 +270,8 @@ def kind_and_stats(text: str | None, known: Vocabulary = Vocabulary()) -> tuple:
     if (len(lines) >= 5 and dup_lines > 0.75) or (len(paragraphs) >= 5 and dup_paragraphs > 0.75) or (n >= 12 and top_gram > 0.4):
         share["junk"] = len(flat)
     else:
-        forms = _settle(lines, line_forms(lines))
+        bare = [unquoted(x) for x in lines]
+        forms = _settle(bare, line_forms(bare))
         i = 0
         for form, run in groupby(forms):
             k = len(list(run))
@@ -281,27 +289,42 @@ def kind_and_stats(text: str | None, known: Vocabulary = Vocabulary()) -> tuple:
 
 def _entries_readable(block: str) -> bool:
     letters = sum(map(len, LETTERS.findall(block)))
-    vowels = len(VOWELS.findall(block))
+    vowels = _vowels(block)
     return _odd_share(block.replace("[", "").replace("]", "").replace("*", "").replace("+", "").replace("•", "").replace("|", "")) <= 0.15 and (letters < 8 or vowels >= 0.2 * letters)
 
 
-_SPLITTER, _HASHES = Splitter(plain=False, folded=False), Hashes()
+_SPLITTER = Splitter(plain=False, folded=False)
+
+
+class Places(dict):
+    """A number for every word met so far, from 0 on; the end mark is 0."""
+
+    def __missing__(self, word: bytes | str) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 def _word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(word, docs, times) of each portion of the texts; words of two letters or more."""
+    """(word, docs, times) of a partition's texts, in parts of about ``KEPT`` words; words of two letters or more."""
+    places, docs, times = Places({END: 0}), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def rows() -> pd.DataFrame:
+        f = pd.DataFrame({"word": list(map(text_of, places)), "docs": docs, "times": times})
+        return f[f["word"].str.len() > 1]
+
     for b in batches:
         for _, texts in portions(b["text"]):
             words = _SPLITTER.split(texts)
-            h = _HASHES.of(words)
-            ends = np.flatnonzero(h == _HASHES[END])
-            doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=-1))
-            kinds, first, at = np.unique(h, return_index=True, return_inverse=True)
-            times = np.bincount(at, minlength=len(kinds))
-            docs = np.bincount(np.unique(at.astype(np.int64) * len(ends) + doc) // max(1, len(ends)), minlength=len(kinds))
-            names = [text_of(words[i]) for i in first.tolist()]
-            f = pd.DataFrame({"word": names, "docs": docs, "times": times})
-            yield f[f["word"].str.len() > 1]
+            at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+            doc = np.cumsum(at == 0)
+            seen = np.unique(at * (len(texts) + 1) + doc) // (len(texts) + 1)
+            docs = np.concatenate((docs, np.zeros(len(places) - len(docs), np.int64))) + np.bincount(seen, minlength=len(places))
+            times = np.concatenate((times, np.zeros(len(places) - len(times), np.int64))) + np.bincount(at, minlength=len(places))
+            if len(places) > KEPT:
+                yield rows()
+                places, docs, times = Places({END: 0}), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(docs):
+        yield rows()
 
 
 def common_words(documents: DataFrame, share: float = COMMON_SHARE) -> Vocabulary:
