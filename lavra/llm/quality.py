@@ -95,19 +95,42 @@ def _odd_share(text: str) -> float:
     return (len(NOT_ODD.sub("", text)) + text.count("_")) / max(1, len(text))
 
 
-def readable(text: str, words: list[str], known: Vocabulary = Vocabulary()) -> bool:
-    """Does running text, with these lower-case words, pass for language?"""
+_TABLE = Splitter(plain=False, folded=False).table.replace(b"\x00", b" ")
+
+
+def words_in(text: str) -> list[str]:
+    """Lower-case words: runs of letters, with what follows an apostrophe."""
+    if "'" not in text and "’" not in text:
+        try:
+            return text.encode("latin-1", "lavra-blank").translate(_TABLE).decode("latin-1").split()
+        except UnicodeEncodeError:
+            pass
+    return WORD.findall(text.lower())
+
+
+def _foreign(text: str) -> int:
+    """Letters beyond those of Latin scripts."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return sum(c.isalpha() for run in BEYOND_LATIN.findall(text) for c in run)
+    return 0
+
+
+def readable(text: str, words: list[str], known: Vocabulary = Vocabulary(), plain: bool = False) -> bool:
+    """Does running text, with these lower-case words, pass for language? ``plain`` text is known to hold no odd symbol."""
     n = len(words)
     letters = sum(map(len, words))
     solid = max(1, len(text) - text.count(" ") - text.count("\n"))
     tokens = text.split()
     if max(map(len, tokens), default=0) >= LONG_TOKEN and sum(len(t) for t in tokens if len(t) >= LONG_TOKEN and "/" not in t[:8] and "@" not in t) > 0.5 * solid:
         return False
-    if _odd_share(text) > MAX_ODD or letters < 0.5 * solid:
+    if letters < 0.5 * solid or (not plain and _odd_share(text) > MAX_ODD):
         return False
     longer = [w for w in words if len(w) > 1]  # shuffled letters leave one-letter words whole
     common = sum(map(known.words.__contains__, longer))
-    if n >= 12 and (len(set(words)) < MIN_DISTINCT * n or Counter(words).most_common(1)[0][1] > 0.5 * n):
+    # one word can only fill more than half where at most half of the words are different
+    if n >= 12 and (kinds := len(set(words))) <= 0.5 * n + 1 and (kinds < MIN_DISTINCT * n or Counter(words).most_common(1)[0][1] > 0.5 * n):
         return False
     if n >= 8:
         if common + 1 < known.least * len(longer):  # one more, as a single sentence may hold few
@@ -115,8 +138,7 @@ def readable(text: str, words: list[str], known: Vocabulary = Vocabulary()) -> b
     if n and _vowels("".join(words)) < 0.2 * letters:
         return False
     # letters that Latin texts hardly use, cut words and capitals inside words mark garbling
-    foreign = sum(c.isalpha() for run in BEYOND_LATIN.findall(text) for c in run)
-    return foreign <= 0.3 * max(1, letters)
+    return _foreign(text) <= 0.3 * max(1, letters)
 
 
 def unquoted(line: str) -> str:
@@ -156,7 +178,8 @@ def _wide_text(line: str, gaps: int) -> bool:
 
 def _inline_list(line: str) -> bool:
     """One line of many short entries set off by the same mark."""
-    body = line.split(":", 1)[1] if ":" in line[:160] and len(line.split(":", 1)[1]) > 60 else line
+    at = line.find(":", 0, 160)
+    body = line[at + 1 :] if 0 <= at < len(line) - 61 else line
     for mark in INLINE_MARKS:
         if body.count(mark) >= 4:
             parts = body.split(mark)
@@ -166,8 +189,8 @@ def _inline_list(line: str) -> bool:
     return False
 
 
-def line_forms(lines: list[str]) -> list[str]:
-    """A form for each non-blank line without quotes: table, list, short, text or junk."""
+def line_forms(lines: list[str], plain: bool = False) -> list[str]:
+    """A form for each non-blank line without quotes: table, list, short, text or junk; ``plain`` lines hold no odd symbol but those between cells."""
     cells = [_cells(x) for x in lines]
     rows: Counter = Counter()
     for c in cells:
@@ -177,8 +200,6 @@ def line_forms(lines: list[str]) -> list[str]:
     for (k, v), n in rows.items():
         by_mark[k] += n
     forms = []
-    # most texts hold no odd character but those that set cells apart
-    plain = not set(NOT_ODD.sub("", "".join(lines))) - set('|";') and not any("_" in x for x in lines)
     for x, c in zip(lines, cells):
         s = x.strip()
         if HEX_DUMP.match(s):
@@ -252,7 +273,7 @@ def kind_and_stats(text: str | None, known: Vocabulary = Vocabulary()) -> tuple:
     flat = unicodedata.normalize("NFC", text).replace("\r\n", "\n").replace("\r", "\n")
     lines = [x for x in flat.split("\n") if x.strip()]
     stripped = [x.strip() for x in lines]
-    words = WORD.findall(flat.lower())
+    words = words_in(flat)
     n = len(words)
     solid = max(1, sum(map(len, flat.split())))
     symbols = (len(NOT_SYMBOL.sub("", flat)) + flat.count("_")) / solid
@@ -270,14 +291,16 @@ def kind_and_stats(text: str | None, known: Vocabulary = Vocabulary()) -> tuple:
     if (len(lines) >= 5 and dup_lines > 0.75) or (len(paragraphs) >= 5 and dup_paragraphs > 0.75) or (n >= 12 and top_gram > 0.4):
         share["junk"] = len(flat)
     else:
+        odd = NOT_ODD.sub("", flat)
+        plain = not odd and "_" not in flat
         bare = [unquoted(x) for x in lines]
-        forms = _settle(bare, line_forms(bare))
+        forms = _settle(bare, line_forms(bare, plain or ("_" not in flat and not odd.strip('|";'))))
         i = 0
         for form, run in groupby(forms):
             k = len(list(run))
             block = "\n".join(lines[i : i + k])
             size = len(block)
-            if form == "text" and not readable(block, words if k == len(lines) else WORD.findall(block.lower()), known):
+            if form == "text" and not readable(block, words if k == len(lines) else words_in(block), known, plain):
                 form = "junk"
             elif form == "list" and not _entries_readable(block):
                 form = "junk"
