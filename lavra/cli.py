@@ -9,8 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions.cleaning import clean_texts
-from lavra.operators import assoc, chunking, copies, describe, graph, menu, phrases, terms
-from lavra.session import staged
+from lavra.functions.text import body, text_hash
+from lavra.operators import assoc, audit, chunking, copies, describe, graph, menu, phrases, terms, vectors
+from lavra.session import path_exists, staged
 from lavra.sources import readers, sinks
 
 
@@ -26,7 +27,7 @@ def chunk(spark: SparkSession, a: argparse.Namespace) -> None:
     rolled = staged(chunking.topic_rollup(topics, chunks), "topics")
     sinks.write_jsonl(chunking.relink_chunks(chunks, topics, rolled).select(*chunks.columns), f"{a.out}/chunks")
     sinks.write_jsonl(rolled, f"{a.out}/topics")
-    print(sinks.report([("chunks", chunking.chunk_summary(chunks)), ("types", chunks.groupBy("record_type").count())]))
+    print(sinks.report([("chunks", chunking.chunk_summary(chunks)), ("types", chunking.chunk_types(chunks))]))
 
 
 def title(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -73,7 +74,9 @@ def rules(spark: SparkSession, a: argparse.Namespace) -> None:
                                 F.lit(totals[0]).alias("baskets"), F.lit(totals[1]).alias("documents"), F.lit(items.count()).alias("items"), F.lit(r.count()).alias("rules"))
     kept = graph.referenced_chunks(chunks.select("chunk_id", "doc_id", "doc_name", "title", "record_type", "pedido", "topic_id", "text"), used)
     sinks.save_run({"run": run, "node": node, "edge": edge, "edge_evidence": used, "chunk": kept}, f"{a.out}/graph", a.run)
-    print(sinks.report([("run", assoc.run_report(b, r)), ("strongest rules", r.orderBy(F.desc("score"), "from_item", "to_item").select("from_item", "to_item", "together", "documents", "score"))], 20))
+    print(sinks.report([("run", assoc.run_report(b, r)), ("strongest rules", r.orderBy(F.desc("score"), "from_item", "to_item").select("from_item", "to_item", "together", "documents", "score")),
+                        ("strongest rules between modules", r.filter("cross_module = 1").orderBy(F.desc("score"), "from_item", "to_item").select("from_item", "to_item", "together", "documents", "score")),
+                        ("items with most rules", items.orderBy(F.desc("rules_from"), "item").select("item", "rules_from", "baskets"))], 20))
 
 
 def impact(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -87,6 +90,44 @@ def impact(spark: SparkSession, a: argparse.Namespace) -> None:
     print(sinks.payload(r, a.limit))
 
 
+#: The stand-in encoder; a model's encoder and name take its place where there is one.
+ENCODER, MODEL = vectors.hashing_encoder, "hashing-64"
+
+
+def embed(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Titled chunks -> vectors; stored vectors of the same text, model, mode and length are used again."""
+    text = body(F.col("text"), F.col("embed_text")) if a.header else body(F.col("text"))
+    c = readers.read_chunks(spark, a.chunks).select("chunk_id", text.alias("text")).filter("text is not null").withColumn("hash", text_hash(F.col("text")))
+    made = {"model": MODEL, "text_mode": "header" if a.header else "body", "dims": 64}
+    known = readers.read_vectors(spark, a.out) if path_exists(spark, a.out) else spark.createDataFrame([], "hash string, vec array<float>, model string, text_mode string, dims int")
+    reused, todo = vectors.reuse_vectors(c, known, made)
+    fresh = todo.select("chunk_id", "hash").join(vectors.embed(todo.select("hash", "text"), ENCODER), "hash").select("chunk_id", "hash", "vec")
+    both = staged(reused.unionByName(fresh).withColumns({k: F.lit(v) for k, v in made.items()}), "vectors")
+    new = todo.count()  # before the set it was compared with is replaced
+    print(f"{sinks.save_vectors(both, a.out, made['dims'])} vectors, {new} of them new")
+
+
+def search(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Vectors and a text query, or a chunk id -> the most similar chunks."""
+    v = readers.read_vectors(spark, a.vectors)
+    stored = v.select("model").first()
+    vectors.check_compatible({"backend": stored[0] if stored else MODEL}, {"backend": MODEL})
+    v = v.select(F.col("chunk_id").alias("id"), "vec")
+    found = vectors.similar_to(v, a.query, a.k) if a.similar else vectors.search(v, a.query, lambda t: ENCODER()([t])[0].tolist(), a.k)
+    if a.chunks:
+        found = found.join(readers.read_chunks(spark, a.chunks).select(F.col("chunk_id").alias("id"), "title", "doc_name"), "id", "left").orderBy(F.desc("score"), "id")
+    print(sinks.payload(found, a.k))
+
+
+def audit_stage(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Chunks, vectors and clusters -> links, summaries and the quality report."""
+    v = readers.read_vectors(spark, a.vectors).select("chunk_id", "vec")
+    ids = v.select(F.col("chunk_id").alias("id"), "vec")
+    near = spark.read.parquet(a.neighbours) if a.neighbours else vectors.exact_neighbours(ids, ids, a.k, v.select(F.max(F.size("vec"))).first()[0] or 1)
+    done = audit.audit(readers.read_chunks(spark, a.chunks).drop("seq"), v, spark.read.parquet(a.clusters), staged(near, "neighbours"), a.least)
+    print(done.write(a.out))
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lavra")
     sub = p.add_subparsers(dest="stage", required=True)
@@ -103,9 +144,15 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("graph"), s.add_argument("items", nargs="*"), s.add_argument("--run"), s.add_argument("--runs", action="store_true"), s.add_argument("--relations", nargs="*"), s.add_argument("--include-terms", action="store_true")
     for name, kind, default in (("max-hops", int, 2), ("limit", int, 15), ("min-weight", float, 0.05), ("hop-penalty", float, 0.5), ("min-score", float, 0.02)):
         s.add_argument("--" + name, type=kind, default=default)
+    s = sub.add_parser("embed", help=embed.__doc__)
+    s.add_argument("chunks"), s.add_argument("--out", default="out/vectors"), s.add_argument("--header", action="store_true")
+    s = sub.add_parser("search", help=search.__doc__)
+    s.add_argument("vectors"), s.add_argument("query"), s.add_argument("--similar", action="store_true"), s.add_argument("--chunks"), s.add_argument("-k", type=int, default=10)
+    s = sub.add_parser("audit", help=audit_stage.__doc__)
+    s.add_argument("chunks"), s.add_argument("vectors"), s.add_argument("clusters"), s.add_argument("--neighbours"), s.add_argument("--out", default="out"), s.add_argument("-k", type=int, default=5), s.add_argument("--least", type=float, default=0.55)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("lavra").getOrCreate()
-    {"chunk": chunk, "title": title, "rules": rules, "impact": impact}[a.stage](spark, a)
+    {"chunk": chunk, "title": title, "rules": rules, "impact": impact, "embed": embed, "search": search, "audit": audit_stage}[a.stage](spark, a)
 
 
 if __name__ == "__main__":

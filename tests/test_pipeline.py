@@ -64,3 +64,15 @@ def test_command_line_end_to_end(spark, tmp_path, capsys):
     assert got[0]["node"] == "PEDI1" and got[0]["paths"][0]["path"] == ["FATU1", "PEDI1"]
     cli.main(["impact", f"{out}/graph", "--runs"])
     assert "r1" in capsys.readouterr().out
+    cli.main(["embed", f"{out}/titled", "--out", f"{out}/vectors"])
+    assert "30 vectors, 30 of them new" in capsys.readouterr().out
+    cli.main(["embed", f"{out}/titled", "--out", f"{out}/vectors"])
+    assert "30 vectors, 0 of them new" in capsys.readouterr().out
+    cli.main(["search", f"{out}/vectors", "nota fiscal de saída", "--chunks", f"{out}/titled", "-k", "3"])
+    got = json.loads(capsys.readouterr().out)
+    assert len(got) == 3 and got[0]["score"] >= got[2]["score"] and got[0]["title"]
+    readers.read_chunks(spark, f"{out}/titled").selectExpr("chunk_id", "cast(position % 2 as int) as cluster").write.parquet(f"{out}/made")
+    cli.main(["audit", f"{out}/titled", f"{out}/vectors", f"{out}/made", "--out", f"{out}/audit", "--least", "0.1"])
+    assert capsys.readouterr().out.count("\n\n") >= 5
+    rows = {n: spark.read.option("header", "true").csv(f"{out}/audit/{n}").count() for n in ("chunk_links", "cluster_summary", "cluster_links", "clusters")}
+    assert rows["cluster_summary"] == 2 and rows["cluster_links"] == 1 and rows["clusters"] == 30 and rows["chunk_links"] == 150
