@@ -226,7 +226,11 @@ p AS (SELECT w.a, w.z, ok.b, ok.doc_id, ok.first, row_number() OVER (PARTITION B
 e AS (SELECT p.*, coalesce((SELECT arg_min(chunk_id, (k.doc_id, k.position)) FROM k WHERE k.b = p.b AND list_contains(k.items, p.a) AND list_contains(k.items, p.z)), first) AS chunk_id FROM p WHERE n <= 30),
 u AS (SELECT *, row_number() OVER (PARTITION BY a, z, doc_id ORDER BY n) AS d FROM e)
 SELECT a, z AS b, rank, chunk_id FROM (SELECT a, z, chunk_id, row_number() OVER (PARTITION BY a, z ORDER BY n) AS rank FROM u WHERE d = 1) WHERE rank <= 3"""
+_RULES_FILE = (
+    " SELECT f AS \"from\", g AS \"to\", t AS together, round(conf, 3) AS confidence, round(t / (cf + 3) * log2(1 + least(round(lift, 2), 50)) * log2(1 + d), 3) AS score FROM r"
+)
 ORACLES = {
+    "rules_file": f"WITH {_ITEMS}{_CHUNK_RULES.format(basket=_RECORD)}{_RULES_FILE}",
     "assoc_dedup_fingerprint": f"WITH {_ITEMS} SELECT chunk_id FROM ch",
     "chunk_rules": f"WITH {_ITEMS}{_CHUNK_RULES.format(basket=_RECORD)}{_RULE_ROWS}",
     "chunk_rules_topic": f"WITH {_ITEMS}{_CHUNK_RULES.format(basket=f"CASE WHEN coalesce(topic_number, '') <> '' AND topic_id IS NOT NULL THEN topic_id ELSE {_RECORD} END")}{_RULE_ROWS}",

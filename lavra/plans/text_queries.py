@@ -83,10 +83,10 @@ def chunk_documents(spark, d):
 
 
 def chunk_topics(spark, d):
-    """Topics that have chunks, linked past those that have none: every fifth topic is taken for one without."""
+    """Topics that have chunks, linked past those that have none: chunks of less than 200 characters don't count here."""
     c = _chunks(spark, d).filter("topic_id is not null")
     t = c.groupBy("topic_id").agg(F.min("doc_id").alias("doc_id"), F.min("previous_topic_id").alias("previous_topic_id"))
-    held = c.filter(chunking.topic_order() % 5 != 4).select("topic_id")
+    held = c.filter(F.length("text") >= 200).select("topic_id")
     return chunking.topic_rollup(t, held).select("topic_id", "previous_topic_id", "n_chunks")
 
 
@@ -170,10 +170,10 @@ ORACLES = {
     "documents_without_copies": f"WITH {_COPIES.split(',' + chr(10) + 'chain')[0]} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT dropped FROM best)",
     "chunk_types": "WITH c AS (SELECT chunk_id, any_value(record_type) AS record_type, any_value(topic_number) AS topic_number, any_value(topic_id) AS topic_id FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
     " e AS (SELECT record_type, CASE WHEN topic_number <> '' THEN topic_id END AS t, count(*) AS n FROM c GROUP BY 1, 2) SELECT record_type, sum(n)::BIGINT AS chunks, count(t) AS topics, count(*) FILTER (t IS NOT NULL AND n = 1) AS whole FROM e GROUP BY 1",
-    "chunk_topics": "WITH c AS (SELECT chunk_id, any_value(topic_id) AS topic_id, any_value(doc_id) AS doc_id, any_value(previous_topic_id) AS p FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
-    " t AS (SELECT topic_id, min(doc_id) AS doc_id, min(p) AS p, regexp_extract(topic_id, '(\\d+)$', 1)::INT AS o, count(*) AS n FROM c WHERE topic_id IS NOT NULL GROUP BY 1),"
+    "chunk_topics": "WITH c AS (SELECT chunk_id, any_value(topic_id) AS topic_id, any_value(doc_id) AS doc_id, any_value(previous_topic_id) AS p, any_value(text) AS text FROM chunks_titled WHERE chunk_id IS NOT NULL GROUP BY chunk_id),"
+    " t AS (SELECT topic_id, min(doc_id) AS doc_id, min(p) AS p, regexp_extract(topic_id, '(\\d+)$', 1)::INT AS o, count(*) FILTER (length(text) >= 200)::INT AS n FROM c WHERE topic_id IS NOT NULL GROUP BY 1),"
     " ch AS (SELECT *, sum((p IS NULL)::INT) OVER (PARTITION BY doc_id ORDER BY o) AS chain FROM t)"
-    " SELECT x.topic_id, (SELECT max_by(y.topic_id, y.o) FROM ch y WHERE y.doc_id = x.doc_id AND y.chain = x.chain AND y.o < x.o AND y.o % 5 <> 4) AS previous_topic_id, x.n AS n_chunks FROM ch x WHERE x.o % 5 <> 4",
+    " SELECT x.topic_id, (SELECT max_by(y.topic_id, y.o) FROM ch y WHERE y.doc_id = x.doc_id AND y.chain = x.chain AND y.o < x.o AND y.n > 0) AS previous_topic_id, x.n AS n_chunks FROM ch x WHERE x.n > 0",
     "chunk_stats": f"WITH {_C}, n AS (SELECT split_part(chunk_id, '-', 1) AS d, coalesce(length(text), 0) AS n FROM c)"
     " SELECT count(DISTINCT d) AS documents, count(*) AS chunks, median(n) AS median, max(n) AS longest, count(*) FILTER (n < 400) AS short,"
     " (SELECT n FROM (SELECT n, row_number() OVER (ORDER BY n) AS k FROM n) WHERE k = (SELECT floor(count(*) * 0.95) + 1 FROM n)) AS p95 FROM n",
