@@ -4,7 +4,8 @@ Vectors are put into overlapping cells around pivots. Inside a cell every vector
 projections on random lines are kept as sorted arrays, query-centred windows on them are widened
 level by level (virtual rehashing), and vectors that fall into enough windows are verified by their
 exact similarity. A query whose neighbours lie within a level's radius is settled; for those that are
-left the windows widen until they hold the whole cell, which is then verified as a whole.
+left the windows widen until they hold the whole cell, which is then verified as a whole. Queries that
+no cell settles are sent on to several wide cells, each of which they are compared with as a whole.
 
 Defined results
 * A vector is valid when it has ``dims`` finite values, not all zero; only ids in ``known`` count.
@@ -43,7 +44,7 @@ DENSE = 0.04
 class Plan:
     dims: int = 192
     k: int = 5
-    per_pivot: int = 5000  # vectors for each pivot
+    per_pivot: int = 2500  # vectors for each pivot
     probes: int = 4  # cells that each vector joins
     lines: int = 32  # projections
     share: float = 0.75  # of the windows that a candidate falls into
@@ -51,6 +52,9 @@ class Plan:
     radii: tuple[float, ...] = (0.57, 1.14)  # after the last one the windows hold the whole cell
     cell: int = 60_000  # members above which a cell is cut into overlapping ones
     wide: int = 10  # neighbours kept while searching
+    settled: float = 0.5  # similarity of the k-th neighbour below which a query goes on to the wide cells
+    far_pivot: int = 20_000  # vectors for each wide cell; every vector lies in one
+    far_probes: int = 6  # wide cells that a query is compared with
 
 
 def valid_vectors(vectors: DataFrame, known: DataFrame, dims: int = 192) -> DataFrame:
@@ -95,15 +99,15 @@ def matrix(column, dims: int) -> np.ndarray:
     return v
 
 
-def choose_pivots(vectors: DataFrame, n: int, plan: Plan) -> np.ndarray:
-    """The vectors with the smallest hashed ids, in the number that the plan asks for."""
-    want = int(min(MAX_PIVOTS, max(1, -(-n // plan.per_pivot))))
+def choose_pivots(vectors: DataFrame, n: int, per_pivot: int, dims: int) -> np.ndarray:
+    """The vectors with the smallest hashed ids, one for every ``per_pivot``."""
+    want = int(min(MAX_PIVOTS, max(1, -(-n // per_pivot))))
     # hashes are even, so a share of them holds about as many rows; some more are taken, so that no sort is needed
     share = min(1.0, (want + 8 * want**0.5 + 64) / n)
     h = F.xxhash64("id")
     near = vectors if share == 1 else vectors.filter(h < F.lit(int(share * 2**64) - 2**63))
     rows = sorted((r for r in near.select(h.alias("h"), "id", "vec").collect()), key=lambda r: (r[0], r[1]))[:want]
-    return matrix(pa.array([list(r[2]) for r in rows], pa.list_(pa.float32())), plan.dims)
+    return matrix(pa.array([list(r[2]) for r in rows], pa.list_(pa.float32())), dims)
 
 
 def nearest(v: np.ndarray, pivots: np.ndarray, t: int) -> np.ndarray:
@@ -118,14 +122,20 @@ def nearest(v: np.ndarray, pivots: np.ndarray, t: int) -> np.ndarray:
 
 def spread(vectors: DataFrame, plan: Plan) -> DataFrame:
     """(cell, id, vec): each vector once for every cell that it joins."""
+    return _sent(vectors, _pivots(vectors, plan.per_pivot, plan.dims), plan.probes, plan.dims)
+
+
+def _pivots(vectors: DataFrame, per_pivot: int, dims: int):
     n = vectors.count()
-    shared = vectors.sparkSession.sparkContext.broadcast(choose_pivots(vectors, n, plan) if n else np.zeros((1, plan.dims), np.float32))
+    return vectors.sparkSession.sparkContext.broadcast(choose_pivots(vectors, n, per_pivot, dims) if n else np.zeros((1, dims), np.float32))
 
+
+def _sent(vectors: DataFrame, shared, probes: int, dims: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = shared.value
         for b in batches:
             if b.num_rows:
-                cells = nearest(matrix(b.column(1), plan.dims), pivots, plan.probes)
+                cells = nearest(matrix(b.column(1), dims), pivots, probes)
                 take = pa.array(np.repeat(np.arange(b.num_rows), cells.shape[1]))
                 yield pa.RecordBatch.from_arrays([pa.array(cells.ravel(), pa.int32()), b.column(0).take(take), b.column(1).take(take)], ["cell", "id", "vec"])
 
@@ -190,12 +200,12 @@ def collisions(lines: np.ndarray, rows: np.ndarray, lo: int, hi: int, half: int,
     return r[order], c[order]
 
 
-def compare_all(x: np.ndarray, members: np.ndarray, rows: np.ndarray, lists: Lists) -> None:
-    """Offer these rows of x their neighbours among all of x."""
+def compare_all(x: np.ndarray, members: np.ndarray, rows: np.ndarray, lists: Lists, first: int = 0) -> None:
+    """Offer these rows of x their neighbours among all of x, or those from ``first`` on."""
     k = lists.at.shape[1]
     for a in range(0, len(rows), 2 * BLOCK):
         own = rows[a : a + 2 * BLOCK]
-        for b in range(0, len(x), WIDTH):
+        for b in range(first, len(x), WIDTH):
             sim = x[own] @ x[b : b + WIDTH].T
             here = np.flatnonzero((own >= b) & (own < b + WIDTH))
             sim[here, own[here] - b] = -2
@@ -261,7 +271,11 @@ def search_members(v: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     lists = Lists(len(v), max(plan.k, plan.wide))
     for part in cells_of(v, np.arange(len(v)), plan):
         search_cell(v, part, lines, lists, plan)
-    # similarities anew in double precision: a pair has the same one wherever it is met
+    return _exact(v, lists)
+
+
+def _exact(v: np.ndarray, lists: Lists) -> tuple[np.ndarray, np.ndarray]:
+    """The lists with similarities in double precision: a pair has the same one wherever it is met."""
     sim = np.full(lists.at.shape, -2.0)
     for a in range(0, len(v), 512):
         near = lists.at[a : a + 512]
@@ -314,20 +328,46 @@ def nearest_vectors(vectors: DataFrame, plan: Plan = Plan()) -> DataFrame:
         r, c = np.nonzero(at >= 0)
         return pa.table({"id": ids.take(pa.array(r)), "neighbour": ids.take(pa.array(at[r, c])), "similarity": pa.array(sim[r, c])})
 
+    def search_far(table: pa.Table) -> pa.Table:
+        """Neighbours of a wide cell's queries among its members; a query with the id of a member isn't its neighbour."""
+        ids, v = sorted_members(table.filter(pc.invert(table.column("query"))), plan.dims)
+        own, q = sorted_members(table.filter(table.column("query")), plan.dims)
+        lists = Lists(len(q) + len(v), plan.wide)
+        both = np.concatenate((q, v))
+        compare_all(both, np.arange(len(both)), np.arange(len(q)), lists, first=len(q))
+        at, sim = _exact(both, lists)
+        r, c = np.nonzero(at[: len(q)] >= 0)
+        near, asked = ids.take(pa.array(at[r, c] - len(q))), own.take(pa.array(r))
+        out = pa.table({"id": asked, "neighbour": near, "similarity": pa.array(sim[r, c])})
+        return out.filter(pc.not_equal(near, asked))
+
+    schema = "id string, neighbour string, similarity double"
     one, copies = distinct_vectors(vectors)
-    found = spread(one, plan).groupBy("cell").applyInArrow(search, "id string, neighbour string, similarity double")
-    # at most k candidates come from each of the few cells that hold the vector
-    best = found.groupBy("id").agg(F.collect_set(F.struct((-F.col("similarity")).alias("d"), "neighbour")).alias("c"))
-    # a pair may be met in several cells; the first of each neighbour stays
-    once = F.aggregate(F.sort_array("c"), F.array().cast("array<struct<d:double,neighbour:string>>"),
-                       lambda a, x: F.when(F.exists(a, lambda y: y["neighbour"] == x["neighbour"]), a).otherwise(F.concat(a, F.array(x))))
-    lists = best.select("id", F.slice(once, 1, plan.k).alias("c"))
+    lists = staged(_merged(spread(one, plan).groupBy("cell").applyInArrow(search, schema), plan.k), "lists")
+    # queries without k neighbours of the similarity that settles them go on to wide cells
+    last = F.get("c", F.lit(plan.k - 1))["d"]
+    settled = lists.filter(F.coalesce(last <= -plan.settled, F.lit(False)))
+    pivots = _pivots(one, plan.far_pivot, plan.dims)
+    asked = one.join(settled.select("id"), "id", "left_anti")
+    members, queries = _sent(one, pivots, 1, plan.dims).withColumn("query", F.lit(False)), _sent(asked, pivots, plan.far_probes, plan.dims).withColumn("query", F.lit(True))
+    far = members.unionByName(queries).groupBy("cell").applyInArrow(search_far, schema)
+    near = lists.join(settled.select("id"), "id", "left_anti").select("id", F.explode("c").alias("x")).select("id", "x.neighbour", (-F.col("x.d")).alias("similarity"))
+    lists = settled.unionByName(_merged(far.unionByName(near), plan.k))
     if copies.limit(1).count():
         lists = with_copies(staged(lists, "lists"), copies, plan.k)  # read twice, searched once
     top = lists.select("id", F.posexplode("c").alias("p", "x"))
     return top.select("id", "x.neighbour", (-F.col("x.d")).alias("similarity"), (F.col("p") + 1).alias("rank"))
 
 
+def _merged(found: DataFrame, k: int) -> DataFrame:
+    """(id, c): the k best of the candidates (id, neighbour, similarity), of which each of a few cells gives a few."""
+    best = found.groupBy("id").agg(F.collect_set(F.struct((-F.col("similarity")).alias("d"), "neighbour")).alias("c"))
+    # a pair may be met in several cells; the first of each neighbour stays
+    once = F.aggregate(F.sort_array("c"), F.array().cast("array<struct<d:double,neighbour:string>>"),
+                       lambda a, x: F.when(F.exists(a, lambda y: y["neighbour"] == x["neighbour"]), a).otherwise(F.concat(a, F.array(x))))
+    return best.select("id", F.slice(once, 1, k).alias("c"))
+
+
 def mutual_pairs(found: DataFrame, least: float) -> DataFrame:
     """(a, b), a < b: pairs of at least this similarity where each is among the other's neighbours."""
     p = found.filter(F.col("similarity") >= least).select(F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b"))

@@ -73,6 +73,19 @@ def test_search_of_a_cell_against_brute_force():
     assert np.mean([len(set(a[:5].tolist()) & set(w.tolist())) / 5 for a, w in zip(parts, want)]) > 0.9
 
 
+def test_queries_without_near_vectors_go_on_to_wide_cells(spark):
+    rng = np.random.default_rng(12)
+    v = np.concatenate((clustered(600), rng.standard_normal((300, DIMS)))).astype(np.float64)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = N.valid_vectors(spark.createDataFrame(rows_of(v), "id string, vector array<float>"), spark.createDataFrame([(str(i),) for i in range(len(v))], "id string"))
+    got = {}
+    for r in N.nearest_vectors(df, N.Plan(per_pivot=20, probes=1, far_pivot=300, far_probes=3)).collect():
+        got.setdefault(int(r.id), set()).add(int(r.neighbour))
+    want = brute(v, 5)
+    assert all(i not in got[i] and len(got[i]) == 5 for i in range(600, 900))
+    assert np.mean([len(got[i] & set(want[i])) / 5 for i in range(600, 900)]) >= 0.99
+
+
 def test_few_and_none(spark):
     df = N.valid_vectors(spark.createDataFrame([("a", [1.0] * DIMS), ("b", [1.0, -1.0] * (DIMS // 2))], "id string, vector array<float>"), spark.createDataFrame([("a",), ("b",)], "id string"))
     assert {(r.id, r.neighbour) for r in N.nearest_vectors(df).collect()} == {("a", "b"), ("b", "a")}
