@@ -45,7 +45,7 @@ def audit(chunks: DataFrame, vecs: DataFrame, clusters: DataFrame, neighbours: D
     label = c.select(F.col("chunk_id").alias("id"), "cluster")
     links = staged(L.typed_links(neighbours, c, least), "links")
     words = staged(phrases.cluster_keywords(c.select(F.col("chunk_id").alias("id"), "cluster", body(F.col("text")).alias("text"))), "keywords")
-    pairs = L.strongest_cluster_links(L.cluster_links(links, label), words, 1_000_000_000)
+    pairs = L.strongest_cluster_links(L.cluster_links(links, label), words, None)
     held = L.cohesion(members).select("cluster", "cohesion", "example")
     summary = staged(L.cluster_summary(c).join(words, "cluster", "left").join(held, "cluster", "left"), "summary")
     side = lambda s: c.select(F.col("chunk_id").alias(f"{s}_chunk"), F.col("cluster").alias(f"{s}_cluster"), F.col("title").alias(f"{s}_title"))

@@ -142,10 +142,10 @@ def consecutive_similarity(chunks: DataFrame, low: float = 0.25, high: float = 0
     return s.filter((F.col("similarity") < low) | (F.col("similarity") > high)).withColumn("side", F.when(F.col("similarity") < low, "low").otherwise("high"))
 
 
-def strongest_cluster_links(pairs: DataFrame, keywords: DataFrame, first: int = 20) -> DataFrame:
-    """The ``first`` strongest pairs of clusters with three keywords of each."""
+def strongest_cluster_links(pairs: DataFrame, keywords: DataFrame, first: int | None = 20) -> DataFrame:
+    """The ``first`` strongest pairs of clusters, or all, with three keywords of each."""
     k = keywords.select("cluster", F.array_join(F.slice("keywords", 1, 3), ", ").alias("k"))
-    top = pairs.orderBy(F.desc("links"), "cluster_a", "cluster_b").limit(first)
+    top = pairs if first is None else pairs.orderBy(F.desc("links"), "cluster_a", "cluster_b").limit(first)
     top = top.join(k.select(F.col("cluster").alias("cluster_a"), F.col("k").alias("keywords_a")), "cluster_a", "left")
     return top.join(k.select(F.col("cluster").alias("cluster_b"), F.col("k").alias("keywords_b")), "cluster_b", "left").select("cluster_a", "cluster_b", "links", "keywords_a", "keywords_b")
 
