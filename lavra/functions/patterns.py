@@ -105,7 +105,7 @@ campo campos tecle clique clicar botão botões lista listas valores valor tela
 posicionar-se informar informe localizar desejado desejada desejados efetuar clics clic sobre selecionar selecionada selecionado
 abrir aberta aberto fechar voltará inicial aba abas opção opções registro registros salvar sugerido sugerida sugestão pedido
 serviço solicitação detalhamento observação imagem conforme abaixo acima segue seguinte teste testes testado ok sim cliente
-favor obrigado obrigada att atenciosamente kunden marcio tendo informação código códigos diretamente modo entrar navegue navegar
+favor obrigado obrigada att atenciosamente tendo informação código códigos diretamente modo entrar navegue navegar
 barra ferramentas superior inferior esquerda direita param confirmar consulta consultar executar retornar automaticamente caso
 contrário processo após antes agora abaixo necessário conseguir
 """

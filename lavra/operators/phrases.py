@@ -6,6 +6,8 @@ texts have no phrase. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ _STOP = P.PHRASE_STOP.split()
 _DULL = sorted({*P.PHRASE_STOP.split(), *P.PHRASE_BOILERPLATE.split()})
 
 
-def candidates(text: Column) -> Column:
-    """All phrases of 1-3 words inside punctuation, in lower case, repeats kept.
+def candidates(text: Column, names: Sequence[str] = ()) -> Column:
+    """All phrases of 1-3 words inside punctuation, in lower case, repeats kept; ``names`` (of firms, people) are boilerplate as well.
 
     The first and last word must be usable (three letters or more, neither stop nor boilerplate);
     a middle word may also be a stop word.
@@ -31,7 +33,7 @@ def candidates(text: Column) -> Column:
     clean = F.regexp_replace(clean, rf"\b(?:{'|'.join(P.MODULES)})\d{{1,4}}\b", " ")
     segments = F.transform(F.split(clean, _PHRASE_END), lambda s: F.transform(F.regexp_extract_all(s, F.lit(_WORD), F.lit(0)), F.lower))
     # each word is marked once: 2 usable, 1 stop word, 0 neither
-    mark = lambda w: F.when((F.length(w) > 2) & ~w.isin(*_DULL), 2).when(w.isin(*_STOP), 1).otherwise(0)
+    mark = lambda w: F.when((F.length(w) > 2) & ~w.isin(*_DULL, *names), 2).when(w.isin(*_STOP), 1).otherwise(0)
     marked = F.transform(segments, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("w"), mark(w).alias("m"))))
     word = lambda ws, i: F.get(ws, i)["w"]
     ok = lambda ws, i, least: F.get(ws, i)["m"] >= least
@@ -46,14 +48,14 @@ def candidates(text: Column) -> Column:
     return F.flatten(F.transform(marked, of))
 
 
-def phrase_counts(chunks: DataFrame) -> DataFrame:
+def phrase_counts(chunks: DataFrame, names: Sequence[str] = ()) -> DataFrame:
     """(chunk_id, phrase, tf)."""
-    return chunks.select("chunk_id", F.explode(candidates(F.col("text"))).alias("phrase")).groupBy("chunk_id", "phrase").agg(F.count(F.lit(1)).alias("tf"))
+    return chunks.select("chunk_id", F.explode(candidates(F.col("text"), names)).alias("phrase")).groupBy("chunk_id", "phrase").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def phrase_scores(chunks: DataFrame, max_share: float = 0.15) -> DataFrame:
+def phrase_scores(chunks: DataFrame, max_share: float = 0.15, names: Sequence[str] = ()) -> DataFrame:
     """(chunk_id, phrase, tf, df, score) of phrases in 2 chunks or more and at most a share of all."""
-    tf = phrase_counts(chunks)
+    tf = phrase_counts(chunks, names)
     n = chunks.agg(F.countDistinct("chunk_id").alias("n"))
     df = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).filter((F.col("df") >= 2) & (F.col("df") <= F.col("n") * max_share))
     words = F.size(F.split("phrase", " "))
@@ -69,9 +71,9 @@ def pick_apart(ranked: Column, k: int) -> Column:
     return F.aggregate(ranked, F.array().cast("array<string>"), add)
 
 
-def key_phrases(chunks: DataFrame, k: int = 5) -> DataFrame:
+def key_phrases(chunks: DataFrame, k: int = 5, names: Sequence[str] = ()) -> DataFrame:
     """(chunk_id, key_phrases): best score first, equal scores by phrase descending, no shared words."""
-    s = phrase_scores(chunks).groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("score", "phrase")), asc=False).alias("s"))
+    s = phrase_scores(chunks, names=names).groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("score", "phrase")), asc=False).alias("s"))
     return s.select("chunk_id", pick_apart(F.transform("s", lambda x: x["phrase"]), k).alias("key_phrases"))
 
 
